@@ -43,6 +43,12 @@ def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r.value for r in spark.read.text(path).collect())
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (none when it does not exist)."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def completed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write into ``path`` was committed."""
     return exists(spark, f"{path}/_SUCCESS")

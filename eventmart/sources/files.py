@@ -9,19 +9,22 @@ from pyspark.sql import types as T
 from eventmart import schemas
 
 
-def arrival_order() -> list[Column]:
-    """Arrival order of rows read from files.
-
-    File, start of the split within the file, and a running number within the
-    task. Take it directly on the scan: it means nothing after a shuffle.
-    """
+def file_place() -> list[Column]:
+    """File and start of the split within the file, for rows read from files."""
     return [
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
-        F.monotonically_increasing_id().alias("source_row"),
     ]
 
 
+def arrival_order() -> list[Column]:
+    """Arrival order of rows read from files: place, then a running number in the task.
+
+    Take it directly on the scan: the number means nothing after a shuffle.
+    """
+    return [*file_place(), F.monotonically_increasing_id().alias("source_row")]
+
+
 def csv_scan_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Positional CSV scan into the fourteen text columns; the header line is skipped.
 
@@ -57,7 +60,13 @@ def csv_scan_by_name(spark: SparkSession, path: str, multi_line: bool = False) -
 
 
 def csv_write(df: DataFrame, path: str) -> None:
-    """Write raw rows as CSV with a header; NULL as an empty field."""
-    df.select(*schemas.RAW_COLUMNS).write.option("header", True).option("nullValue", "").option(
-        "emptyValue", ""
-    ).option("escape", '"').csv(path)
+    """Write raw rows as CSV with a header; NULL as an empty field, blanks kept."""
+    (
+        df.write.option("header", True)
+        .option("nullValue", "")
+        .option("emptyValue", "")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart import schemas
-from eventmart.sources.files import arrival_order
+from eventmart.sources.files import file_place
 
 CORRUPT = "_corrupt"
 MESSAGE_SCHEMA = T.StructType(schemas.RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -63,11 +63,15 @@ def publish_kafka(raw: DataFrame, topic: str, bootstrap: str) -> None:
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of messages from text files; ``max_files`` bounds a micro-batch."""
+    """Stream of messages from text files; ``max_files`` bounds a micro-batch.
+
+    A stream cannot number its rows, so ``source_row`` is left to the batch writer.
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select("value", *arrival_order())
+    no_row = F.lit(None).cast("long").alias("source_row")
+    return reader.load(path).select("value", *file_place(), no_row)
 
 
 def kafka_stream(

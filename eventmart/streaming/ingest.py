@@ -80,15 +80,24 @@ class Ingest:
     def folder(self, table: str, batch_id: int) -> str:
         return f"{self.target}/{table}/run_id={self.run_id}/batch_id={batch_id}"
 
-    def stored_keys(self, batch_id: int) -> DataFrame:
-        """Ids a batch has to be compared with; never its own, it may be a repeat."""
-        stored = stream_events(self.spark, self.target)
+    def stored_keys(self, batch_id: int) -> DataFrame | None:
+        """Ids a batch has to be compared with, None when there are none.
+
+        Never those of the batch itself: it may be a repeat. With ids of this run in
+        the streaming state, only folders of other runs are even listed.
+        """
+        table = f"{self.target}/streaming_events"
         if self.dedup_mode == "state":
-            return stored.where(F.col("run_id") != self.run_id)
+            runs = [n for n in storage.children(self.spark, table) if n.startswith("run_id=")]
+            others = [f"{table}/{n}" for n in runs if n != f"run_id={self.run_id}"]
+            return self.spark.read.option("basePath", table).parquet(*others) if others else None
+        stored = stream_events(self.spark, self.target)
         return stored.where((F.col("run_id") != self.run_id) | (F.col("batch_id") != batch_id))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # Rows of one split are numbered here, before any shuffle, where the source did not.
+        row = F.coalesce("source_row", F.monotonically_increasing_id())
+        batch = batch.withColumn("source_row", row).persist()
         try:
             self.write(batch, batch_id)
         finally:
@@ -103,13 +112,10 @@ class Ingest:
         ).first()  # one aggregate row
         if counts.received == 0:
             return
-        rows = batch.where(good)
-        fresh = dedup.absent_rows(
-            dedup.dedup_first_wins(rows),
-            self.stored_keys(batch_id),
-            keys=rows,
-            key_count=counts.received,
-        )
+        fresh = dedup.dedup_first_wins(batch.where(good))
+        stored = self.stored_keys(batch_id)
+        if stored is not None:
+            fresh = dedup.absent_rows(fresh, stored, key_count=counts.received)
         events = self.folder("streaming_events", batch_id)
         fresh.select(*schemas.STREAM_COLUMNS, F.current_timestamp().alias("received_at")).write.mode(
             "overwrite"
@@ -132,14 +138,12 @@ class Ingest:
 
 
 def first_in_state(parsed: DataFrame) -> DataFrame:
-    """Drop repeats of accepted ids by streaming state; rejects pass untouched.
+    """Drop repeats of accepted ids by streaming state; rejects all pass.
 
-    A reject is keyed by its place in the source, which no other row shares.
     Copies of an event that share a topic partition (messages are keyed by event_id)
     keep their order, so the first one wins; order between partitions is undefined.
     """
-    place = F.concat_ws(":", F.lit("reject"), *schemas.ORDER_COLUMNS)
-    key = F.when(F.col("reject_reason").isNull(), F.col("event_id")).otherwise(place)
+    key = F.when(F.col("reject_reason").isNull(), F.col("event_id")).otherwise(F.uuid())
     return parsed.withColumn("__state_key", key).dropDuplicates(["__state_key"]).drop("__state_key")
 
 
@@ -149,6 +153,7 @@ def start_ingest(
     checkpoint: str,
     dedup_mode: str = "table",
     interval: str | None = None,
+    sink: type[Ingest] = Ingest,
 ) -> StreamingQuery:
     """Start the ingest of a message stream.
 
@@ -164,8 +169,8 @@ def start_ingest(
     if dedup_mode == "state":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         parsed = first_in_state(parsed)
-    sink = Ingest(spark, target, run_id_of(spark, checkpoint), dedup_mode)
-    writer = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writes = sink(spark, target, run_id_of(spark, checkpoint), dedup_mode)
+    writer = parsed.writeStream.foreachBatch(writes).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
