@@ -160,17 +160,14 @@ class Mart:
             )
             out.repartition(self.buckets, "event_id").write.insertInto(self.fact_table)
 
-    def load_batch(self, raw: DataFrame, on_bad: str = "quarantine", load_id: str | None = None) -> DataFrame:
-        """Load raw rows: stage, extend dimensions, type, split off rejects, insert.
+    def transform_staged(self, staged: DataFrame, on_bad: str = "quarantine", load_id: str = "latest") -> None:
+        """Staging to facts: extend dimensions, split off rejects, type, insert.
 
         ``on_bad='fail'`` refuses the whole load when any row is bad for another reason
-        than its event_id (those rows are always skipped). Running the same load again
-        changes nothing: its reject folder is replaced and its keys are present.
-        Returns the validation figures.
+        than its event_id (those rows are always skipped).
         """
         if on_bad not in ("quarantine", "fail"):
             raise ValueError("on_bad is 'quarantine' or 'fail'")
-        staged = self.stage_reload(raw)
         self.update_dimensions(staged)
         zones, vendors = self.unknown_members(staged)
         judged = transform.mark_unknown(staged, "zone_id", zones)
@@ -186,11 +183,19 @@ class Mart:
             if errors:
                 found = {r.reject_reason: r["count"] for r in errors}
                 raise ValueError(f"load refused, bad rows: {found}")
-        rejected.write.mode("overwrite").parquet(self.path(f"rejected_events/load_id={load_id or 'latest'}"))
-        accepted = transform.fact_transform(judged)
+        rejected.write.mode("overwrite").parquet(self.path(f"rejected_events/load_id={load_id}"))
         # All ids of staging, not only the accepted ones: a superset is as good, and a
         # filter here would be evaluated on every stored key as well.
-        self.insert_facts(accepted, staged.select("event_id"), staged.count())
+        self.insert_facts(transform.fact_transform(judged), staged.select("event_id"), staged.count())
+
+    def load_batch(self, raw: DataFrame, on_bad: str = "quarantine", load_id: str = "latest") -> DataFrame:
+        """Load raw rows and return the validation figures.
+
+        Running the same load again changes nothing: its reject folder is replaced and
+        its ids are present already.
+        """
+        staged = self.stage_reload(raw)
+        self.transform_staged(staged, on_bad, load_id)
         return quality.validate_load(staged, self.fact())
 
     def rejects(self) -> DataFrame:

@@ -65,6 +65,11 @@ def resent(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"value": changed, "source_file": later})
 
 
+def stored(fact: DataFrame) -> DataFrame:
+    """Rows of a fact table without its load time and partition column."""
+    return plain(fact.select(*schemas.FACT_COLUMNS))
+
+
 def new_mart(spark: SparkSession) -> Mart:
     return Mart(spark, fresh_path(spark, "mart"))
 
@@ -198,7 +203,7 @@ def fact_upsert(spark, sf_dir):
     mart, rows = new_mart(spark), raw(spark, sf_dir)
     mart.load_batch(rows.where(F.col("event_timestamp") < SECOND_LOAD_FROM))
     mart.load_batch(resent(rows))
-    return plain(mart.fact().select(*schemas.FACT_COLUMNS))
+    return stored(mart.fact())
 
 
 @query
@@ -208,7 +213,7 @@ def load_batch(spark, sf_dir):
     files.csv_write(texts(raw(spark, sf_dir, dirty=True)), path)
     for _ in range(2):
         mart.load_batch(files.csv_scan_raw(spark, path))
-    return plain(mart.fact().select(*schemas.FACT_COLUMNS))
+    return stored(mart.fact())
 
 
 @query
@@ -307,29 +312,29 @@ def entity_metrics(spark, sf_dir):
 
 @query
 def entity_lookup(spark, sf_dir):
-    return plain(access.entity_lookup(facts(spark, sf_dir), 11))
+    return stored(access.entity_lookup(loaded_mart(spark, sf_dir).fact(), 11))
 
 
 @query
 def zone_lookup(spark, sf_dir):
-    return plain(access.zone_lookup(facts(spark, sf_dir), 42))
+    return stored(access.zone_lookup(loaded_mart(spark, sf_dir).fact(), 42))
 
 
 @query
 def type_lookup(spark, sf_dir):
-    return plain(access.type_lookup(facts(spark, sf_dir), "premium"))
+    return stored(access.type_lookup(loaded_mart(spark, sf_dir).fact(), "premium"))
 
 
 @query
 def time_range(spark, sf_dir):
     """Read from the month-partitioned table, so the months outside are pruned."""
     fact = loaded_mart(spark, sf_dir).fact()
-    return plain(access.time_range(fact, "2024-02-01", "2024-02-08").select(*schemas.FACT_COLUMNS))
+    return stored(access.time_range(fact, "2024-02-01", "2024-02-08"))
 
 
 @query
 def anomaly_scan(spark, sf_dir):
-    return plain(access.anomaly_scan(facts(spark, sf_dir)))
+    return stored(access.anomaly_scan(loaded_mart(spark, sf_dir).fact()))
 
 
 # --- quality ------------------------------------------------------------------
@@ -487,8 +492,5 @@ def dual_sink(spark, sf_dir):
 @query
 def unified_events(spark, sf_dir):
     """Batch facts of the clean rows and stream rows of the dirty ones."""
-    parsed = parse.parse_messages(messages.rows_to_json(raw(spark, sf_dir, dirty=True)))
-    accepted = parsed.where(F.col("reject_reason").isNull())
-    # Copies of an event are equal here, so any total order picks the same row.
-    stream = dedup.dedup_first_wins(accepted, order=schemas.STREAM_COLUMNS)
-    return plain(unify.unified_events(facts(spark, sf_dir), stream))
+    stream = stream_rows(spark, ingested(spark, sf_dir))
+    return plain(unify.unified_events(loaded_mart(spark, sf_dir).fact(), stream, stream.count()))
