@@ -24,7 +24,7 @@ from eventmart import schemas
 from eventmart.operators import dedup, dims, lookup, storage, transform
 from eventmart.operators.access import month_of
 from eventmart.plans import quality
-from eventmart.session import configure, shuffle_partitions
+from eventmart.session import configure, settings
 
 DIM_SCHEMAS = {
     "dim_event_type": schemas.LOOKUP_DIM_SCHEMA,
@@ -62,7 +62,8 @@ class Mart:
     def _create_tables(self) -> None:
         """CREATE IF NOT EXISTS for the catalog, the fact table and the seeded dimensions."""
         spark = self.spark
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
+        catalog = self.path("catalog")  # an empty folder: dropping a database deletes its location
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{catalog}'")
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_SCHEMA.fields)
         known = spark.catalog.tableExists(self.fact_table)
         spark.sql(
@@ -80,7 +81,7 @@ class Mart:
         }
         for name, rows in seeds.items():
             if not storage.completed(spark, self.path(name)):
-                self._append(dims.insert_if_absent(self.dim(name), rows, "id"), name)
+                rows.write.mode("overwrite").parquet(self.path(name))
 
     def _append(self, df: DataFrame, name: str) -> None:
         df.write.mode("append").parquet(self.path(name))
@@ -141,30 +142,54 @@ class Mart:
         rows: DataFrame,
         keys: DataFrame | None = None,
         key_count: int | None = None,
-        order: list[str] | None = None,
+        scope: str = "all",
     ) -> None:
         """Insert the first row per event_id, unless the fact table has that id already.
 
         Everything is shuffled once, by event_id into as many partitions as there are
         buckets: the duplicate elimination, the join with the stored keys and the
         bucketed write all use that one partitioning.
+
+        ``scope='all'`` compares with every stored id. ``scope='month'`` reads only the
+        ids of the months the new rows fall into; it is weaker, because an id that
+        comes back with a time in another month is then inserted again.
         """
-        with shuffle_partitions(self.spark, self.buckets):
-            rows = dedup.dedup_first_wins(rows, order=order)
-            if self.months():
-                rows = dedup.absent_rows(rows, self.fact(), keys=keys, key_count=key_count)
-            out = rows.select(
-                *schemas.FACT_COLUMNS,
-                F.current_timestamp().alias("ingested_at"),
-                month_of(F.col("event_timestamp")).alias("event_month"),
-            )
-            out.repartition(self.buckets, "event_id").write.insertInto(self.fact_table)
+        if scope not in ("all", "month"):
+            raise ValueError("scope is 'all' or 'month'")
+        with settings(self.spark, {"spark.sql.shuffle.partitions": str(self.buckets)}):
+            self.fact_rows(rows, keys, key_count, scope).write.insertInto(self.fact_table)
 
-    def transform_staged(self, staged: DataFrame, on_bad: str = "quarantine", load_id: str = "latest") -> None:
+    def fact_rows(
+        self,
+        rows: DataFrame,
+        keys: DataFrame | None = None,
+        key_count: int | None = None,
+        scope: str = "all",
+    ) -> DataFrame:
+        """The rows ``insert_facts`` writes, in the layout of the fact table."""
+        stored = None
+        if self.months():
+            stored = self.fact()
+            if scope == "month":
+                touched = rows.select(month_of(F.col("event_timestamp")).alias("m")).distinct().collect()  # months
+                stored = stored.where(F.col("event_month").isin([F.lit(r.m) for r in touched]))
+        rows = dedup.dedup_first_wins(rows)
+        if stored is not None:
+            rows = dedup.absent_rows(rows, stored, keys=keys, key_count=key_count)
+        return rows.select(
+            *schemas.FACT_COLUMNS,
+            F.current_timestamp().alias("ingested_at"),
+            month_of(F.col("event_timestamp")).alias("event_month"),
+        ).repartition(self.buckets, "event_id")
+
+    def transform_staged(
+        self, staged: DataFrame, on_bad: str = "quarantine", load_id: str = "latest", scope: str = "all"
+    ) -> None:
         """Staging to facts: extend dimensions, split off rejects, type, insert.
 
         ``on_bad='fail'`` refuses the whole load when any row is bad for another reason
-        than its event_id (those rows are always skipped).
+        than its event_id (those rows are always skipped). ``scope`` is that of
+        ``insert_facts``.
         """
         if on_bad not in ("quarantine", "fail"):
             raise ValueError("on_bad is 'quarantine' or 'fail'")
@@ -186,16 +211,19 @@ class Mart:
         rejected.write.mode("overwrite").parquet(self.path(f"rejected_events/load_id={load_id}"))
         # All ids of staging, not only the accepted ones: a superset is as good, and a
         # filter here would be evaluated on every stored key as well.
-        self.insert_facts(transform.fact_transform(judged), staged.select("event_id"), staged.count())
+        facts = transform.fact_transform(judged)
+        self.insert_facts(facts, staged.select("event_id"), staged.count(), scope=scope)
 
-    def load_batch(self, raw: DataFrame, on_bad: str = "quarantine", load_id: str = "latest") -> DataFrame:
+    def load_batch(
+        self, raw: DataFrame, on_bad: str = "quarantine", load_id: str = "latest", scope: str = "all"
+    ) -> DataFrame:
         """Load raw rows and return the validation figures.
 
         Running the same load again changes nothing: its reject folder is replaced and
         its ids are present already.
         """
         staged = self.stage_reload(raw)
-        self.transform_staged(staged, on_bad, load_id)
+        self.transform_staged(staged, on_bad, load_id, scope)
         return quality.validate_load(staged, self.fact())
 
     def rejects(self) -> DataFrame:

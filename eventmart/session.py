@@ -38,12 +38,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """Plan the shuffles of the enclosed actions with ``n`` partitions."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, n)
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Plan the enclosed actions with other session settings, then put the old ones back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

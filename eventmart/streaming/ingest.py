@@ -22,6 +22,7 @@ Uniqueness has two modes:
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventmart import schemas
 from eventmart.operators import dedup, storage
-from eventmart.session import configure
+from eventmart.session import configure, settings
 from eventmart.streaming.parse import parse_messages
 
 RUN_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
@@ -41,7 +42,14 @@ METRICS_SCHEMA = T.StructType(
     + [T.StructField("logged_at", T.TimestampType())]
     + RUN_FIELDS
 )
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk, and per batch only its changes in the checkpoint.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+log = logging.getLogger(__name__)
 
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> str:
@@ -131,6 +139,7 @@ class Ingest:
             "skipped": counts.skipped,
             "anomalies": counts.anomalies,
         }
+        log.info("run %s batch %d: %s", self.run_id, batch_id, values)
         row = self.spark.range(1).select(
             *[F.lit(v).cast("long").alias(n) for n, v in values.items()], F.current_timestamp().alias("logged_at")
         )
@@ -167,12 +176,12 @@ def start_ingest(
     spark = configure(messages.sparkSession)
     parsed = parse_messages(messages)
     if dedup_mode == "state":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         parsed = first_in_state(parsed)
     writes = sink(spark, target, run_id_of(spark, checkpoint), dedup_mode)
     writer = parsed.writeStream.foreachBatch(writes).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with settings(spark, STATE_SETTINGS if dedup_mode == "state" else {}):
+        return writer.trigger(**trigger).start()
 
 
 def drain(query: StreamingQuery) -> None:

@@ -134,9 +134,9 @@ def rows_to_json(spark, sf_dir):
 
 @query
 def json_decode(spark, sf_dir):
-    """Every message, and every message again cut off after 40 characters."""
+    """Every message, and every message again without its opening brace."""
     good = messages.rows_to_json(raw(spark, sf_dir)).select("value")
-    broken = good.select(F.substring("value", 1, 40).alias("value"))
+    broken = good.select(F.replace("value", F.lit("{"), F.lit("")).alias("value"))
     return messages.json_decode(good.unionAll(broken)).select(*schemas.RAW_COLUMNS, "is_malformed")
 
 
