@@ -25,6 +25,7 @@ from eventmart.operators import dedup, dims, lookup, storage, transform
 from eventmart.operators.access import month_of
 from eventmart.plans import quality
 from eventmart.session import configure, settings
+from eventmart.streaming import ingest
 
 DIM_SCHEMAS = {
     "dim_event_type": schemas.LOOKUP_DIM_SCHEMA,
@@ -106,6 +107,14 @@ class Mart:
         found["fact_events"] = self.spark.catalog.tableExists(self.fact_table)
         return found
 
+    def register_views(self, prefix: str = "") -> None:
+        """Temporary views of all tables, for queries in SQL."""
+        views = {name: self.dim(name) for name in DIM_SCHEMAS}
+        views |= {"fact_events": self.fact(), "raw_events": self.raw()}
+        views["streaming_events"] = ingest.stream_events(self.spark, self.root)
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+
     # --- batch load -----------------------------------------------------------
 
     def stage_reload(self, raw: DataFrame) -> DataFrame:
@@ -235,20 +244,19 @@ class Mart:
         """Move months before ``before`` ('yyyy-MM-dd') to ``archive``, partitioned by month.
 
         Rows are copied if absent, so a run that was cut short can simply be repeated;
-        a month is dropped only after every row of it was counted in the archive.
+        months are dropped only after every id in them was found in the archive.
         """
         spark, old = self.spark, [m for m in self.months() if m < before]
         if not old:
             return []
-        month = F.col("event_month")
-        rows = self.fact().where(month.isin([F.lit(m).cast("date") for m in old]))
-        schema = self.fact().schema
-        kept = storage.read_or_empty(spark, archive, schema).where(month.isin([F.lit(m).cast("date") for m in old]))
-        dedup.absent_rows(rows, kept).select(*schema.names).write.mode("append").partitionBy("event_month").parquet(archive)
-        archived = spark.read.schema(schema).parquet(archive)
-        missing = rows.select("event_id").join(archived.select("event_id"), "event_id", "left_anti")
-        if not missing.isEmpty():
-            raise RuntimeError("archive is incomplete, nothing was dropped")
+        retired = F.col("event_month").isin([F.lit(m).cast("date") for m in old])
+        rows, schema = self.fact().where(retired), self.fact().schema
+        kept = storage.read_or_empty(spark, archive, schema).where(retired)
+        copied = dedup.absent_rows(rows, kept).select(*schema.names)
+        copied.write.mode("append").partitionBy("event_month").parquet(archive)
+        archived = storage.read_or_empty(spark, archive, schema).where(retired)
+        if not rows.select("event_id").join(archived.select("event_id"), "event_id", "left_anti").isEmpty():
+            raise RuntimeError("the archive is incomplete, nothing was dropped")
         for m in old:
             spark.sql(f"ALTER TABLE {self.fact_table} DROP IF EXISTS PARTITION (event_month = DATE'{m}')")
             storage.delete(spark, f"{self.path('fact_events')}/event_month={m}")

@@ -49,6 +49,8 @@ STATE_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+# A micro-batch is written in files of up to this many rows, not one per shuffle partition.
+ROWS_PER_FILE = 1_000_000
 log = logging.getLogger(__name__)
 
 
@@ -95,13 +97,20 @@ class Ingest:
         the streaming state, only folders of other runs are even listed.
         """
         table = f"{self.target}/streaming_events"
+        runs = [n for n in storage.children(self.spark, table) if n.startswith("run_id=")]
         if self.dedup_mode == "state":
-            runs = [n for n in storage.children(self.spark, table) if n.startswith("run_id=")]
-            others = [f"{table}/{n}" for n in runs if n != f"run_id={self.run_id}"]
-            return self.spark.read.option("basePath", table).parquet(*others) if others else None
-        stored = stream_events(self.spark, self.target)
+            runs = [n for n in runs if n != f"run_id={self.run_id}"]
+        if not runs:
+            return None
+        reader = self.spark.read.schema(schemas.nullable(STORED_SCHEMA)).option("basePath", table)
+        stored = reader.parquet(*[f"{table}/{n}" for n in runs])
         return stored.where((F.col("run_id") != self.run_id) | (F.col("batch_id") != batch_id))
 
+    @staticmethod
+    def save(rows: DataFrame, path: str, at_most: int) -> None:
+        """Write a folder of the batch, ``at_most`` rows, replacing what a failed try left."""
+        rows.coalesce(at_most // ROWS_PER_FILE + 1).write.mode("overwrite").parquet(path)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Rows of one split are numbered here, before any shuffle, where the source did not.
         row = F.coalesce("source_row", F.monotonically_increasing_id())
@@ -120,18 +129,18 @@ class Ingest:
         ).first()  # one aggregate row
         if counts.received == 0:
             return
-        fresh = dedup.dedup_first_wins(batch.where(good))
+        rows = fresh = batch.where(good)
+        if self.dedup_mode == "table":  # the streaming state has done it otherwise
+            fresh = dedup.dedup_first_wins(fresh)
         stored = self.stored_keys(batch_id)
         if stored is not None:
-            fresh = dedup.absent_rows(fresh, stored, key_count=counts.received)
+            fresh = dedup.absent_rows(fresh, stored, keys=rows, key_count=counts.received)
+        fresh = fresh.select(*schemas.STREAM_COLUMNS, F.current_timestamp().alias("received_at"))
         events = self.folder("streaming_events", batch_id)
-        fresh.select(*schemas.STREAM_COLUMNS, F.current_timestamp().alias("received_at")).write.mode(
-            "overwrite"
-        ).parquet(events)
+        self.save(fresh, events, counts.received)
         if counts.skipped:
-            batch.where(~good).select("message", "reject_reason", *schemas.ORDER_COLUMNS).write.mode(
-                "overwrite"
-            ).parquet(self.folder("rejected_messages", batch_id))
+            rejects = batch.where(~good).select("message", "reject_reason", *schemas.ORDER_COLUMNS)
+            self.save(rejects, self.folder("rejected_messages", batch_id), counts.skipped)
         inserted = self.spark.read.parquet(events).count()  # footers only
         values = {
             "received": counts.received,

@@ -263,3 +263,18 @@ def test_fixture_counts(spark):
     raw = fixture.raw_events(spark, SF_DIR)
     facts = dedup.dedup_first_wins(transform.fact_transform(raw))
     assert (raw.count(), facts.count(), facts.where("is_anomaly").count()) == (1_020, 980, 3)
+
+
+def test_tables_can_be_queried_in_sql(mart, spark, raw_rows):
+    mart.load_batch(raw_rows([row(1), row(2, total_value="-1"), row(3, event_type="bulk")]))
+    mart.register_views("t_")
+    got = spark.sql(
+        "SELECT d.name, date_trunc('month', f.event_timestamp)::date AS m, count(*) AS n,"
+        " count(*) FILTER (WHERE f.is_anomaly) AS bad"
+        " FROM t_fact_events f JOIN t_dim_event_type d ON d.id = f.event_type_id GROUP BY 1, 2 ORDER BY 1"
+    ).collect()
+    assert [(r.name, str(r.m), r.n, r.bad) for r in got] == [
+        ("bulk", "2024-10-01", 1, 0),
+        ("standard", "2024-10-01", 2, 1),
+    ]
+    assert spark.table("t_streaming_events").count() == 0 and spark.table("t_raw_events").count() == 3
