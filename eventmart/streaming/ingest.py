@@ -50,7 +50,7 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # A micro-batch is written in files of up to this many rows, not one per shuffle partition.
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 250_000
 log = logging.getLogger(__name__)
 
 
