@@ -25,6 +25,9 @@ DIGITS = r"^[0-9]+\z"
 # Casting alone would also read 'now', '12:00' and '2024' as timestamps.
 ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(.*\S)?)?\z"
 NOT_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*\z"
+# Plain texts, which skip the slow path through wide decimals.
+SHORT_INT = r"^[+-]?[0-9]{1,9}\z"
+SHORT_MONEY = r"^[+-]?[0-9]{1,8}(\.[0-9]{1,2})?\z"
 WHITESPACE = " \t\n\r\f\x0b"
 WIDE = "decimal(38,18)"
 WIDE_LIMIT = 1e20
@@ -104,20 +107,42 @@ def stream_number(c: Column) -> Column:
 
 def stream_int(c: Column, default: int | None = None, to: str = "int") -> Column:
     """Number text truncated towards zero: '3.9' -> 3, '-3.9' -> -3."""
-    out = stream_number(c).try_cast(to)
+    out = F.when(c.rlike(SHORT_INT), c.try_cast(to)).otherwise(stream_number(c).try_cast(to))
     return out if default is None else F.coalesce(out, F.lit(default).cast(to))
 
 
 def stream_money(c: Column, default: float | None = None) -> Column:
-    """Two decimals, halves away from zero.
+    """Two decimals, rounded the way a binary float is: '2.675' -> 2.67, '0.125' -> 0.12.
 
-    Rounding is decimal, so a value that lies on an exact half may differ by 0.01
-    from rounding its binary floating-point form.
+    The float nearest to a decimal half lies a little above or below it, and that
+    decides; only halves a float holds exactly (eighths) go to the even neighbour.
+    Texts with two decimals or fewer take none of this.
     """
-    out = c.try_cast("decimal(10,2)")
+    exact = c.try_cast("decimal(28,18)")
+    plain = exact.try_cast("decimal(10,2)")  # halves away from zero
+    half = F.round(exact, 3)
+    is_half = (c.try_cast("double") == half.cast("double")) & (F.abs(half) * 1000 % 10 == 5)
+    side = float_side_of_half(F.abs(half).cast("double"))
+    below = (F.abs(half) - F.lit("0.005").cast("decimal(4,3)")).try_cast("decimal(10,2)")
+    odd_below = F.pmod((below * 100).cast("long"), F.lit(2)) == 1
+    down = (side < 0) | ((side == 0) & ~odd_below)
+    rounded = F.when(is_half & down, (below * F.signum(half).cast("int")).try_cast("decimal(10,2)"))
+    out = F.when(c.rlike(SHORT_MONEY), c.try_cast("decimal(10,2)")).otherwise(F.coalesce(rounded, plain))
     return out if default is None else F.coalesce(out, F.lit(str(default)).cast("decimal(10,2)"))
 
 
+def float_side_of_half(d: Column) -> Column:
+    """Negative, zero or positive: where the float ``d`` lies against the exact half it stands for.
+
+    ``d * 200`` is compared with the odd number it should be. The product is taken in
+    two parts of 26 bits each, so that neither is rounded.
+    """
+    scaled = d * F.lit(134217729.0)  # 2 ** 27 + 1
+    high = scaled - (scaled - d)
+    low = d - high
+    return (high * 200.0 - F.round(d * 200.0)) + low * 200.0
+
+
 def stream_out_of_range(c: Column, typed: Column) -> Column:
     """True where the text is a number that the column type cannot hold."""
     number = (

@@ -84,8 +84,10 @@ class Mart:
             if not storage.completed(spark, self.path(name)):
                 rows.write.mode("overwrite").parquet(self.path(name))
 
-    def _append(self, df: DataFrame, name: str) -> None:
-        df.write.mode("append").parquet(self.path(name))
+    def _append(self, members: DataFrame, name: str) -> None:
+        """Add dimension members; most loads have none, and then no file is written."""
+        if not members.isEmpty():
+            members.write.mode("append").parquet(self.path(name))
 
     def dim(self, name: str) -> DataFrame:
         return storage.read_or_empty(self.spark, self.path(name), DIM_SCHEMAS[name])

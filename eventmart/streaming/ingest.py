@@ -42,6 +42,9 @@ METRICS_SCHEMA = T.StructType(
     + [T.StructField("logged_at", T.TimestampType())]
     + RUN_FIELDS
 )
+# The parse is one large expression: as one generated method the JVM would not compile
+# it, so let Spark split it.
+PARSE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 # State on local disk, and per batch only its changes in the checkpoint.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -189,7 +192,7 @@ def start_ingest(
     writes = sink(spark, target, run_id_of(spark, checkpoint), dedup_mode)
     writer = parsed.writeStream.foreachBatch(writes).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    with settings(spark, STATE_SETTINGS if dedup_mode == "state" else {}):
+    with settings(spark, PARSE_SETTINGS | (STATE_SETTINGS if dedup_mode == "state" else {})):
         return writer.trigger(**trigger).start()
 
 
