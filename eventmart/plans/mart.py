@@ -61,7 +61,7 @@ class Mart:
     # --- tables ---------------------------------------------------------------
 
     def _create_tables(self) -> None:
-        """CREATE IF NOT EXISTS for the catalog, the fact table and the seeded dimensions."""
+        """Create what is missing: the catalog entry, the seeded and the still empty tables."""
         spark = self.spark
         catalog = self.path("catalog")  # an empty folder: dropping a database deletes its location
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{catalog}'")
@@ -80,6 +80,8 @@ class Mart:
             "dim_payment_method": lookup.payment_methods(spark),
             "dim_vendor": lookup.vendors(spark),
         }
+        empty = {"dim_zone": schemas.ZONE_SCHEMA, "raw_events": schemas.STAGING_SCHEMA}
+        seeds |= {n: spark.createDataFrame([], schemas.nullable(schema)) for n, schema in empty.items()}
         for name, rows in seeds.items():
             if not storage.completed(spark, self.path(name)):
                 rows.write.mode("overwrite").parquet(self.path(name))

@@ -189,6 +189,12 @@ def test_mart_can_be_reopened_by_another_catalog(mart, spark, raw_rows):
     assert ids(again.fact()) == sorted(uuid_of(i) for i in (1, 2, 3))
 
 
+def test_new_mart_has_all_batch_tables(mart):
+    absent = [name for name, there in mart.present_tables().items() if not there]
+    assert absent == ["streaming_events"]
+    assert mart.dim("dim_zone").count() == mart.raw().count() == mart.fact().count() == 0
+
+
 def test_month_pruning(mart, raw_rows):
     mart.load_batch(raw_rows([row(1), row(2, event_timestamp="2024-11-05"), row(3, event_timestamp="2024-12-05")]))
     got = access.time_range(mart.fact(), "2024-11-01", "2024-12-01")

@@ -57,8 +57,8 @@ def test_reject_reasons(spark):
         "not json", "[1]", "null", "", None, null_id, no_id, message(1, event_id="x"), message(1, event_timestamp="noon"),
         message(1, entity_id="None"), message(1, vendor_id="70000"), message(1, value="nan"), message(1),
     ]
-    got = [parsed(spark, lines)[i].reject_reason for i in range(len(lines))]
-    assert got == ["malformed_message"] * 5 + ["bad_event_id"] * 3 + [
+    rows = parsed(spark, lines)
+    assert [rows[i].reject_reason for i in range(len(lines))] == ["malformed_message"] * 5 + ["bad_event_id"] * 3 + [
         "bad_timestamp",
         "bad_entity_id",
         "out_of_range_vendor_id",
