@@ -216,7 +216,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, vo
         yield pa.RecordBatch.from_pylist([{"file": uri, "part": part, "n_docs": len(done.ends), "n_ids": done.n_ids}])
 
     files = in_order(docs, id_col, text_col).mapInArrow(write, MANIFEST)
-    return [r.asDict() for r in files.orderBy("part").collect()]
+    return sorted((r.asDict() for r in files.collect()), key=lambda f: f["part"])
 
 
 def read_token_files(spark: SparkSession, manifest: list[dict]) -> DataFrame:
