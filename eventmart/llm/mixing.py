@@ -44,23 +44,23 @@ class Mix:
 
 
 def sizes_in_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, start, n_texts): the place of every document in the stream of its source.
+    """(doc_id, source, text_hash, size, start): the place of every document in the stream of its source.
 
     A prefix sum in two steps: rows are dealt out by ranges of (source, doc_id), so a large
     source spans many of them; sums within a range, then over the ranges.
     Rows that are alike in doc_id, source, size and text are interchangeable.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.xxhash64("text").alias("tie"))
-    rows = rows.repartitionByRange(width(docs.sparkSession), F.col("source").asc_nulls_last(), "doc_id", "tie")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.xxhash64("text").alias("text_hash"))
+    rows = rows.repartitionByRange(width(docs.sparkSession), F.col("source").asc_nulls_last(), "doc_id", "text_hash")
     rows = staged(rows.withColumn("part", F.spark_partition_id()), "sizes")
-    own = Window.partitionBy("source", "part").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("source", "part").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
     parts = staged(parts.select(F.col("source").alias("_s"), F.col("part").alias("_p"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base")), "bases")
     placed = rows.withColumn("within", F.coalesce(F.sum("size").over(own), F.lit(0)))
     placed = placed.join(small(parts), F.col("source").eqNullSafe(F.col("_s")) & (F.col("part") == F.col("_p")))
-    return staged(placed.select("doc_id", "source", "size", (F.col("base") + F.col("within")).alias("start")), "placed")
+    return staged(placed.select("doc_id", "source", "text_hash", "size", (F.col("base") + F.col("within")).alias("start")), "placed")
 
 
 def targets(placed: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
@@ -144,7 +144,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
 
 
 def mixed_words(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document; ``taken`` counts repeats."""
+    """(doc_id, size, source_size, target, taken, source, text_hash) of every document; ``taken`` counts repeats."""
     plan = mix(docs, block, seed)
     picks = plan.slots.groupBy("source", "block").agg(F.count("*").alias("picks"))
     picks = picks.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "picks")
@@ -154,4 +154,20 @@ def mixed_words(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 0) -> Dat
     sources = small(plan.sources).withColumnsRenamed({"source": "_n"})
     out = plan.docs.join(used, _same("source", "_s") & (F.col("start") == F.col("_t")) & (F.col("size") > 0), "left")
     out = out.join(sources, _same("source", "_n"))
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "source", "text_hash")
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it, whole: taken / size, rounded up or down by a hash.
+
+    A row the mix doesn't reach is gone; one of a source that is repeated may occur twice.
+    Rows alike in doc_id, source and text share what they have together.
+    """
+    words = mixed_words(docs, block, seed).groupBy("doc_id", "source", "text_hash")
+    words = words.agg((F.sum("taken") / F.sum("size")).alias("times")).filter("times > 0")
+    chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.lit(1 << 20)) / (1 << 20)
+    words = words.select(F.struct("doc_id", "source", "text_hash").alias("_key"), F.floor(F.col("times") + chance).alias("_times"))
+    words = small(staged(words.filter("_times > 0"), "times"))
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("text_hash"))
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"), key.alias("_own"))
+    return rows.join(words, F.col("_own").eqNullSafe(F.col("_key"))).select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")

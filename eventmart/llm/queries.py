@@ -29,7 +29,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_words(table(spark, sf_dir, "documents"))
+    return mixing.mixed_words(table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
