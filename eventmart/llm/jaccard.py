@@ -10,7 +10,9 @@ threshold. Links that a walk finds are exact.
 
 Any total order gives the right result; rarity only keeps candidates few. It comes
 from a sketch: 2 ** SKETCH_BITS counters of hashed shingles over all texts, merged by a
-shuffle and kept as one byte each (4 MB, whatever the size of the corpus).
+shuffle and kept as one byte each (4 MB, whatever the size of the corpus). Coarse groups
+that come out larger than a block are grouped anew, in an order by a sketch of
+their own texts, which tells passages that many of them share from shingles that are rare.
 
 The result is the connected components of the links. A pair whose sets are already
 connected needs no check, which is what makes large groups of copies cheap: equal
@@ -38,6 +40,8 @@ WORDS = 5
 PERCENT = 80
 SKETCH_BITS = 22
 CHUNK_BITS = 16
+#: Wide groups are grouped anew while that leaves fewer texts in wide groups than this share.
+SHRINKS = 0.7
 #: Texts of a block. A join in one task sees two blocks at most.
 BLOCK = 96
 
@@ -206,25 +210,49 @@ def _join_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
 
 def _linked(docs: DataFrame, tasks: DataFrame, ranks, words: int, percent: int) -> DataFrame:
-    """Links within groups; ``tasks`` has for each text the groups it goes to: (doc_id, known, groups of (g, x, y, role))."""
+    """Links within groups; ``tasks`` are (doc_id, known, g, x, y, role): the groups (g, x, y) a text goes to."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets in sets_of(batch, words):
                 data = [ordered(s, ranks.value).astype("<u8").tobytes() for s in sets]
-                names = ["doc_id", "known"]
-                groups = pa.array(rows["groups"], batch.schema.field("groups").type)
-                yield pa.RecordBatch.from_arrays([*(pa.array(rows[c], pa.int64()) for c in names), groups, pa.array(data, pa.binary())], [*names, "groups", "keys"])
-
-    rows = docs.join(small(tasks), "doc_id").select("text", "doc_id", "known", "groups")
-    kind = "array<struct<g:long,x:long,y:long,role:long>>"
-    sets = rows.mapInArrow(keys, f"doc_id long, known long, groups {kind}, keys binary").filter("length(keys) > 0")
-    sets = sets.select("doc_id", "known", "keys", F.explode("groups").alias("t"))
-    sets = sets.select("t.g", "t.x", "t.y", "doc_id", "t.role", "known", "keys")
+                yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array(data, pa.binary())], ["doc_id", "keys"])
+
+    tasks = staged(tasks, "tasks")
+    rows = docs.join(small(staged(tasks.select("doc_id").distinct(), "asked")), "doc_id", "left_semi")
+    sets = rows.mapInArrow(keys, "doc_id long, keys binary").filter("length(keys) > 0")
+    sets = sets.join(small(tasks), "doc_id").select("g", "x", "y", "doc_id", "role", "known", "keys")
     sets = sets.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y")
     return staged(sets.mapInArrow(lambda b: _join_groups(b, percent), "a long, b long"), "links")
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch], ranks, words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, sets in sets_of(batch, words):
+            firsts = [_prefix(ordered(s, ranks.value), percent) for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in rows.values()), lists], [*rows, "prefix"])
+
+
+def _prefix(keys: np.ndarray, percent: int) -> np.ndarray:
+    """The keys of which one is shared with any set that links."""
+    return keys[: len(keys) - (percent * len(keys) + 99) // 100 + 1].astype(np.int64)[: len(keys)]
+
+
+def _grouped(shared: DataFrame, block: int) -> DataFrame:
+    """(doc_id, g, blocks): coarse groups of texts that share a key, within the groups given; ``shared`` is (doc_id, g, key)."""
+    first = F.first("doc_id").over(Window.partitionBy("g", "key").orderBy("doc_id"))
+    found = components(shared.select("doc_id", first.alias("first")).filter("doc_id <> first"))
+    found = found.select(F.col("node").alias("doc_id"), F.col("component").alias("g"))
+    sizes = staged(found.groupBy("g").agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
+    return staged(found.join(small(sizes), "g").select("doc_id", "g", "blocks"), "near")
+
+
+def _tasks(rows: DataFrame, groups) -> DataFrame:
+    return rows.select("doc_id", "known", F.explode(groups).alias("t")).select("doc_id", "known", "t.*")
+
+
 def _group(g, x, y, role):
     return F.struct(g.alias("g"), x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(role).cast("long").alias("role"))
 
@@ -246,7 +274,7 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             for rows, sets in sets_of(batch, words):
                 keys = [ordered(s, ranks.value) for s in sets]
                 prints = np.array([np.frombuffer(hashlib.blake2b(k.tobytes(), digest_size=16).digest(), "<i8") for k in keys]).reshape(-1, 2)
-                firsts = [k[: len(k) - (percent * len(k) + 99) // 100 + 1].astype(np.int64) if len(k) else k.astype(np.int64) for k in keys]
+                firsts = [_prefix(k, percent) for k in keys]
                 ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows["doc_id"], pa.int64()), pa.array([len(k) for k in keys], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))],
@@ -259,38 +287,44 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     firsts = staged(filled.groupBy(*same).agg(F.min("doc_id").alias("doc_id")), "firsts")
     n_firsts = firsts.count()
 
-    # texts that share a shingle of their prefixes, each with the first of them
-    shared = filled.join(small(firsts, n_firsts), [*same, "doc_id"], "left_semi").select("doc_id", F.explode("prefix").alias("key"))
-    first = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
-    near = components(shared.select("doc_id", first.alias("first")).filter("doc_id <> first"))
+    shared = filled.join(small(firsts, n_firsts), [*same, "doc_id"], "left_semi").select("doc_id", F.lit(0).cast("long").alias("g"), F.explode("prefix").alias("key"))
+    near = _grouped(shared, block)
+    wide = staged(near.filter("blocks > 1").select("doc_id", "g"), "wide")
+    n_wide, before = wide.count(), None
+    while n_wide and (before is None or n_wide < SHRINKS * before):
+        texts = docs.join(small(wide, n_wide), "doc_id").select("doc_id", "g", "text")
+        ranks = spark.sparkContext.broadcast(shingle_ranks(texts, words))
+        shared = texts.mapInArrow(lambda b, r=ranks: _prefixes(b, r, words, percent), "doc_id long, g long, prefix array<long>")
+        again = _grouped(shared.select("doc_id", "g", F.explode("prefix").alias("key")), block)
+        near = staged(near.filter("blocks = 1").unionByName(again), "near")
+        wide = staged(again.filter("blocks > 1").select("doc_id", "g"), "wide")
+        n_wide, before = wide.count(), n_wide
 
     # coarse groups, in blocks
-    near = near.select(F.col("node").alias("doc_id"), F.col("component").alias("g"))
-    sizes = staged(near.groupBy("g").agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
-    blocks = near.join(small(sizes), "g").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
-    blocks = staged(blocks, "blocks")
+    blocks = staged(near.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")), "blocks")
     g, own, last = F.col("g"), F.col("block"), F.col("blocks") - 1
     none = F.lit(-1)
-    pivots = F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda y: _group(g, y, none, 1)))
     home = F.array(_group(g, own, none, 0))
-    tasks = blocks.select("doc_id", F.col("doc_id").alias("known"), F.when(own == 0, F.concat(home, F.coalesce(pivots, F.array().cast("array<struct<g:long,x:long,y:long,role:long>>")))).otherwise(home).alias("groups"))
+    pivots = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda y: _group(g, y, none, 1))
+    groups = F.when((own == 0) & (last > 0), F.concat(home, pivots)).otherwise(home)
+    tasks = _tasks(blocks.withColumn("known", F.col("doc_id")), groups)
     links = _linked(docs, tasks, ranks, words, percent)
 
     # texts outside the largest component of a split group meet every block of it
     parts = staged(components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("known")), "parts")
-    wide = blocks.filter("blocks > 1").join(small(parts), "doc_id", "left").withColumn("known", F.coalesce("known", "doc_id"))
-    wide = staged(wide, "wide")
-    counts = wide.groupBy("g", "known").agg(F.count("*").alias("n"))
+    parted = blocks.filter("blocks > 1").join(small(parts), "doc_id", "left").withColumn("known", F.coalesce("known", "doc_id"))
+    parted = staged(parted, "parted")
+    counts = parted.groupBy("g", "known").agg(F.count("*").alias("n"))
     largest = counts.groupBy("g").agg(F.max_by("known", F.struct("n", "known")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"))
     largest = largest.withColumn("sides", F.ceil((F.col("all") - F.col("most")) / block)).filter("sides > 0")
-    rest = staged(wide.join(small(staged(largest, "largest")), "g"), "rest")
+    rest = staged(parted.join(small(staged(largest, "largest")), "g"), "rest")
     if not rest.isEmpty():
         outside = F.col("known") != F.col("largest")
         side = F.pmod(F.xxhash64("doc_id", F.lit(1)), "sides")
         probes = F.transform(F.sequence(F.lit(0), last), lambda y: _group(g, y, side, 2))
         others = F.transform(F.sequence(F.lit(0), F.col("sides") - 1), lambda y: _group(g, own, y, 0))
         # a probe is a partner too, for probes of other sides and of its own
-        tasks = rest.select("doc_id", "known", F.when(outside, F.concat(probes, others)).otherwise(others).alias("groups"))
+        tasks = _tasks(rest, F.when(outside, F.concat(probes, others)).otherwise(others))
         links = links.unionByName(_linked(docs, tasks, ranks, words, percent))
 
     copies = filled.join(small(firsts.withColumnRenamed("doc_id", "first"), n_firsts), same).filter("doc_id <> first")
