@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontaminate, jaccard, langid, mixing, separators, token_files
+from eventmart.llm import decontaminate, jaccard, langid, mixing, secrets, separators, token_files, urls
 from eventmart.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,14 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
 
@@ -46,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_url_filter": op7_url_filter,
+    "op8_secrets": op8_secrets,
     "op10_token_counts": op10_token_counts,
 }
 
