@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontaminate, html_text, jaccard, langid, mixing, secrets, separators, token_files, urls
+from eventmart.llm import decontaminate, html_text, jaccard, langid, mixing, secrets, separators, token_files, urls, vectors
 from eventmart.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_url_filter": op7_url_filter,
     "op8_secrets": op8_secrets,
+    "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
 }
 
