@@ -1,9 +1,10 @@
 """Operator 6: n-gram Jaccard join with prefix trees.
 
 Every text is a set of word shingles. All sets are put into one global order, rare
-shingles first. Two sets of Jaccard similarity t or more share a shingle among the first
-``n - ceil(t * n) + 1`` of each, so only those prefixes are shuffled. What they share
-gathers texts into coarse groups; the ordered sets of a group are stored in a
+shingles first. Two sets of Jaccard similarity t or more share at least k shingles among the first
+``n - ceil(t * n) + k`` of each, so only those prefixes are shuffled. A k of a few rules
+out texts that share a phrase by chance. What prefixes share gathers texts into
+coarse groups; the ordered sets of a group are stored in a
 prefix tree, and each set walks the tree, adding up the overlap once for all sets
 that share a path, and leaving subtrees whose remaining lengths can't reach the
 threshold. Links that a walk finds are exact.
@@ -40,6 +41,10 @@ WORDS = 5
 PERCENT = 80
 SKETCH_BITS = 22
 CHUNK_BITS = 16
+#: Shingles that prefixes have to share: one for so many of the set's, up to the most.
+ONE_OF, MOST_SHARED = 12, 12
+#: Texts with a shingle in common are counted in pairs up to so many; more are joined to the first of them.
+PAIRED = 16
 #: Wide groups are grouped anew while that leaves fewer texts in wide groups than this share.
 SHRINKS = 0.7
 #: Texts of a block. A join in one task sees two blocks at most.
@@ -226,25 +231,93 @@ def _linked(docs: DataFrame, tasks: DataFrame, ranks, words: int, percent: int)
     return staged(sets.mapInArrow(lambda b: _join_groups(b, percent), "a long, b long"), "links")
 
 
+def _needed(n: int) -> int:
+    """How many shingles of its prefix a set of n has to share with one that links and asks for no fewer."""
+    return max(1, min(MOST_SHARED, n // ONE_OF))
+
+
+def _prefix(keys: np.ndarray, percent: int) -> np.ndarray:
+    """The first keys: with any set that links, as many are shared as the less demanding of both needs."""
+    n = len(keys)
+    return keys[: n - (percent * n + 99) // 100 + _needed(n)].astype(np.int64)
+
+
+def _lists(keys: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch], ranks, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, sets in sets_of(batch, words):
-            firsts = [_prefix(ordered(s, ranks.value), percent) for s in sets]
-            ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in rows.values()), lists], [*rows, "prefix"])
+            firsts = _lists([_prefix(ordered(s, ranks.value), percent) for s in sets])
+            needs = pa.array([_needed(len(s)) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in rows.values()), needs, firsts], [*rows, "need", "prefix"])
 
 
-def _prefix(keys: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of which one is shared with any set that links."""
-    return keys[: len(keys) - (percent * len(keys) + 99) // 100 + 1].astype(np.int64)[: len(keys)]
+def _edges(a: np.ndarray, b: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(need)], ["a", "b", "need"])
 
 
-def _grouped(shared: DataFrame, block: int) -> DataFrame:
-    """(doc_id, g, blocks): coarse groups of texts that share a key, within the groups given; ``shared`` is (doc_id, g, key)."""
-    first = F.first("doc_id").over(Window.partitionBy("g", "key").orderBy("doc_id"))
-    found = components(shared.select("doc_id", first.alias("first")).filter("doc_id <> first"))
-    found = found.select(F.col("node").alias("doc_id"), F.col("component").alias("g"))
+def _star(first: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    n = rows.shape[1]
+    return _edges(np.full(n, first[2]), rows[2], np.zeros(n, np.int64))
+
+
+def _paired(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Edges within whole runs of rows with the same (g, key)."""
+    if not rows.shape[1]:
+        return
+    new = np.append(True, (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]))
+    run = np.cumsum(new) - 1
+    heads = np.flatnonzero(new)
+    long = np.bincount(run)[run] > PAIRED
+    at = np.flatnonzero(long & ~new)
+    yield _edges(rows[2, heads[run[at]]], rows[2, at], np.zeros(len(at), np.int64))
+    for d in range(1, PAIRED):
+        i = np.flatnonzero((run[d:] == run[:-d]) & ~long[d:]) if len(run) > d else []
+        if not len(i):
+            return
+        yield _edges(rows[2, i], rows[2, i + d], np.minimum(rows[3, i], rows[3, i + d]))
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, need) of texts with the same key, from rows (g, key, doc_id, need) in order of (g, key).
+
+    A run of up to PAIRED texts makes pairs, to be counted over all keys. In a longer run
+    every text goes with the first one, and that alone makes them candidates (need 0).
+    No more of an unfinished run is held than that first row.
+    """
+    first, held = None, np.empty((4, 0), np.int64)
+    for batch in batches:
+        rows = np.array([c.to_numpy() for c in batch.columns]).reshape(4, -1)
+        if first is not None:
+            other = np.flatnonzero((rows[:2] != first[:2, None]).any(axis=0))
+            n = int(other[0]) if len(other) else rows.shape[1]
+            yield _star(first, rows[:, :n])
+            rows, first = rows[:, n:], first if n == rows.shape[1] else None
+        rows = np.concatenate([held, rows], axis=1)
+        if not rows.shape[1]:
+            continue
+        other = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(axis=0))
+        begin = int(other[-1]) + 1 if len(other) else 0
+        held = rows[:, begin:]
+        if held.shape[1] > PAIRED:
+            first = held[:, 0]
+            yield _star(first, held[:, 1:])
+            held = held[:, :0]
+        yield from _paired(rows[:, :begin])
+    yield from _paired(held)
+
+
+def _grouped(prefixes: DataFrame, block: int) -> DataFrame:
+    """(doc_id, g, blocks): coarse groups of texts whose prefixes share enough, within the groups given; ``prefixes`` is (doc_id, g, need, prefix)."""
+    rows = prefixes.select("g", F.explode("prefix").alias("key"), "doc_id", "need")
+    rows = rows.repartition("g", "key").sortWithinPartitions("g", "key")
+    pairs = rows.mapInArrow(_candidates, "a long, b long, need long").filter("a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "need")
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).filter("n >= need")
+    found = components(pairs.select("a", "b")).select(F.col("node").alias("doc_id"), F.col("component").alias("g"))
     sizes = staged(found.groupBy("g").agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
     return staged(found.join(small(sizes), "g").select("doc_id", "g", "blocks"), "near")
 
@@ -274,28 +347,26 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             for rows, sets in sets_of(batch, words):
                 keys = [ordered(s, ranks.value) for s in sets]
                 prints = np.array([np.frombuffer(hashlib.blake2b(k.tobytes(), digest_size=16).digest(), "<i8") for k in keys]).reshape(-1, 2)
-                firsts = [_prefix(k, percent) for k in keys]
-                ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["doc_id"], pa.int64()), pa.array([len(k) for k in keys], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))],
-                    ["doc_id", "n_shingles", "f1", "f2", "prefix"],
-                )
-
-    sets = staged(docs.mapInArrow(described, "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>"), "sets")
+                sizes = [len(k) for k in keys]
+                columns = [pa.array(rows["doc_id"], pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1])]
+                needs = pa.array([_needed(n) for n in sizes], pa.int64())
+                yield pa.RecordBatch.from_arrays([*columns, needs, _lists([_prefix(k, percent) for k in keys])], ["doc_id", "n_shingles", "f1", "f2", "need", "prefix"])
+
+    sets = staged(docs.mapInArrow(described, "doc_id long, n_shingles long, f1 long, f2 long, need long, prefix array<long>"), "sets")
     filled = sets.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "f1", "f2"]
     firsts = staged(filled.groupBy(*same).agg(F.min("doc_id").alias("doc_id")), "firsts")
     n_firsts = firsts.count()
 
-    shared = filled.join(small(firsts, n_firsts), [*same, "doc_id"], "left_semi").select("doc_id", F.lit(0).cast("long").alias("g"), F.explode("prefix").alias("key"))
-    near = _grouped(shared, block)
+    prefixes = filled.join(small(firsts, n_firsts), [*same, "doc_id"], "left_semi")
+    near = _grouped(prefixes.select("doc_id", F.lit(0).cast("long").alias("g"), "need", "prefix"), block)
     wide = staged(near.filter("blocks > 1").select("doc_id", "g"), "wide")
     n_wide, before = wide.count(), None
     while n_wide and (before is None or n_wide < SHRINKS * before):
         texts = docs.join(small(wide, n_wide), "doc_id").select("doc_id", "g", "text")
         ranks = spark.sparkContext.broadcast(shingle_ranks(texts, words))
-        shared = texts.mapInArrow(lambda b, r=ranks: _prefixes(b, r, words, percent), "doc_id long, g long, prefix array<long>")
-        again = _grouped(shared.select("doc_id", "g", F.explode("prefix").alias("key")), block)
+        prefixes = texts.mapInArrow(lambda b, r=ranks: _prefixes(b, r, words, percent), "doc_id long, g long, need long, prefix array<long>")
+        again = _grouped(prefixes, block)
         near = staged(near.filter("blocks = 1").unionByName(again), "near")
         wide = staged(again.filter("blocks > 1").select("doc_id", "g"), "wide")
         n_wide, before = wide.count(), n_wide
