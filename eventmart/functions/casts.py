@@ -24,6 +24,7 @@ UUID_ANY_CASE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[
 DIGITS = r"^[0-9]+\z"
 # Casting alone would also read 'now', '12:00' and '2024' as timestamps.
 ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(.*\S)?)?\z"
+INFINITE = r"(?i)^\s*[+-]?(inf|infinity)\s*\z"
 NOT_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*\z"
 # Plain texts, which skip the slow path through wide decimals.
 SHORT_INT = r"^[+-]?[0-9]{1,9}\z"
@@ -143,11 +144,14 @@ def float_side_of_half(d: Column) -> Column:
     return (high * 200.0 - F.round(d * 200.0)) + low * 200.0
 
 
-def stream_out_of_range(c: Column, typed: Column) -> Column:
-    """True where the text is a number that the column type cannot hold."""
+def stream_out_of_range(c: Column, typed: Column, whole: bool = False) -> Column:
+    """True where the text is a number that the column type cannot hold.
+
+    'nan' is no number to a ``whole`` column, which is NULL then, and 'inf' is one it can't hold.
+    """
     number = (
         stream_number(c).isNotNull()
-        | c.rlike(NOT_FINITE)
+        | c.rlike(INFINITE if whole else NOT_FINITE)
         | (F.abs(c.try_cast("double")) >= F.lit(WIDE_LIMIT))
     )
     return typed.isNull() & F.coalesce(number, F.lit(False))

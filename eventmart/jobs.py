@@ -53,7 +53,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p = job("load", "root", "csv")
     p.add_argument("--buckets", type=int)
     p.add_argument("--on-bad", choices=["quarantine", "fail"], default="quarantine")
-    p.add_argument("--load-id", default="latest")
+    p.add_argument("--load-id", help="folder of the rejects; default: a name of the source files")
     p.add_argument("--scope", choices=["all", "month"], default="all")
     p = job("publish", "csv")
     p.add_argument("--messages", help="folder of message files; without it Kafka is used")
@@ -64,10 +64,12 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--topic", default="events")
     p.add_argument("--bootstrap", default="localhost:9092")
     p.add_argument("--batch-size", type=int, help="offsets (or files) per micro-batch")
-    p.add_argument("--dedup", choices=["table", "state"], default="state")
+    p.add_argument("--dedup", choices=["table", "state"], default="table")
     p.add_argument("--interval", help="'10 seconds'; without it the job drains the source and stops")
-    job("queries", "root")
+    p = job("queries", "root")
+    p.add_argument("--out", help="folder for the whole results, as parquet; without it their first rows are shown")
     p = job("health", "root")
+    p.add_argument("--out", help="folder for the whole report, as parquet")
     p.add_argument("--minimum", type=int, default=schemas.EXPECTED_MIN_ROWS)
     job("retire", "root", "before", "archive")
     return parser.parse_args(argv)
@@ -91,12 +93,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         ingest.drain(ingest.start_ingest(source, args.root, args.checkpoint, args.dedup, args.interval))
         ingest.metrics_totals(ingest.stream_metrics(spark, args.root)).show()
     elif args.job == "queries":
-        fact = Mart(spark, args.root).fact()
-        analytics.q1_monthly_revenue(fact).show(1000, truncate=False)
-        analytics.q2_top_entities(fact).show(truncate=False)
+        mart = Mart(spark, args.root)
+        results = {
+            "q1_monthly_revenue": analytics.q1_monthly_revenue(mart.fact(), types=mart.dim("dim_event_type")),
+            "q2_top_entities": analytics.q2_top_entities(mart.fact(), methods=mart.dim("dim_payment_method")),
+            "daily_rollup": analytics.daily_rollup(mart.fact(), mart.dim("dim_event_type")),
+            "entity_metrics": analytics.entity_metrics(mart.fact()),
+        }
+        for name, df in results.items():
+            if args.out:
+                df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+            else:
+                df.show(truncate=False)
     elif args.job == "health":
         report = health(Mart(spark, args.root), args.minimum)
-        report.show(100, truncate=False)
+        if args.out:
+            report.write.mode("overwrite").parquet(f"{args.out}/health_report")
+        report.show(1000, truncate=False)
         return quality.dq_summary(report).first().exit_code
     elif args.job == "retire":
         log.info("retired %s", Mart(spark, args.root).retire_months(args.before, args.archive))

@@ -5,7 +5,7 @@ Filters are plain predicates on stored columns, so they reach the parquet scan.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,20 +18,26 @@ def month_of(ts) -> F.Column:
 
 
 def time_range(fact: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows with start <= event_timestamp < end (UTC text, 'yyyy-MM-dd[ HH:mm:ss]').
+    """Rows with start <= event_timestamp < end (text, 'yyyy-MM-dd[ HH:mm:ss[+hh:mm]]').
 
-    A predicate on the timestamp does not prune month folders by itself, so the
+    Without an offset the text is UTC. Both predicates come from the same instants. A predicate on the timestamp does not prune month folders by itself, so the
     matching predicate on the partition column is added when the table has one.
     """
     ts = F.col("event_timestamp")
-    out = fact.where((ts >= F.lit(start).cast("timestamp")) & (ts < F.lit(end).cast("timestamp")))
+    begin, stop = _instant(start), _instant(end)
+    out = fact.where((ts >= F.lit(begin)) & (ts < F.lit(stop)))
     if "event_month" in fact.columns:
-        first = datetime.fromisoformat(start).date().replace(day=1)
-        last = datetime.fromisoformat(end).date().replace(day=1)
+        first = begin.date().replace(day=1)
+        last = (stop - timedelta(microseconds=1)).date().replace(day=1)
         out = out.where(F.col("event_month").between(F.lit(first), F.lit(last)))
     return out
 
 
+def _instant(text: str) -> datetime:
+    at = datetime.fromisoformat(text)
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
 def entity_lookup(fact: DataFrame, entity_id: int) -> DataFrame:
     return fact.where(F.col("entity_id") == entity_id)
 
@@ -40,10 +46,12 @@ def zone_lookup(fact: DataFrame, zone_id: int) -> DataFrame:
     return fact.where(F.col("zone_id") == zone_id)
 
 
-def type_lookup(fact: DataFrame, event_type: str) -> DataFrame:
-    """Rows of one event type; the name is resolved among the five seeds, so the
-    scan gets a predicate on the stored id and no join."""
+def type_lookup(fact: DataFrame, event_type: str, types: DataFrame | None = None) -> DataFrame:
+    """Rows of one event type; its id is looked up first (names are unique), so the scan
+    gets a predicate on the stored id and no join."""
     ids = [i for i, name in schemas.EVENT_TYPE_SEEDS if name == event_type]
+    if types is not None:
+        ids = [r.id for r in types.where(F.col("name") == event_type).select("id").limit(1).collect()]
     return fact.where(F.col("event_type_id").isin(ids))
 
 

@@ -41,21 +41,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def resolve_name(df: DataFrame, text: Column, dim: DataFrame, id_column: str) -> DataFrame:
-    """LEFT JOIN a fixed name dimension on the normalised text, adding its id.
+    """LEFT JOIN a name dimension (unique names) on the normalised text, adding its id.
 
-    ``dim`` is one of the seeded dimensions (at most five rows), so it is always
-    broadcast and the large side is never shuffled.
+    Whether ``dim`` is broadcast is the caller's choice, see ``name_dim``.
     """
     d = dim.select(F.col("id").alias(id_column), F.col("name").alias(f"__{id_column}_name"))
     key = f"__{id_column}_name"
-    return df.join(F.broadcast(d), casts.batch_name(text) == d[key], "left").drop(key)
+    return df.join(d, casts.batch_name(text) == d[key], "left").drop(key)
 
 
-def fk_lookup(raw: DataFrame) -> DataFrame:
-    """Resolve event_type and payment_method of raw rows to dimension ids."""
+def name_dim(stored: DataFrame | None, seeds: DataFrame) -> DataFrame:
+    """The stored dimension, broadcast if it was counted and is small, or else its seeds."""
+    return F.broadcast(seeds) if stored is None else broadcast_if_small(stored)
+
+
+def fk_lookup(raw: DataFrame, types: DataFrame | None = None, methods: DataFrame | None = None) -> DataFrame:
+    """Resolve event_type and payment_method of raw rows to ids of the stored dimensions (default: their seeds)."""
     spark = raw.sparkSession
-    out = resolve_name(raw, F.col("event_type"), event_types(spark), "event_type_id")
-    return resolve_name(out, F.col("payment_method"), payment_methods(spark), "payment_method_id")
+    out = resolve_name(raw, F.col("event_type"), name_dim(types, event_types(spark)), "event_type_id")
+    return resolve_name(out, F.col("payment_method"), name_dim(methods, payment_methods(spark)), "payment_method_id")
 
 
 def unknown_keys(keys: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -49,9 +49,35 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def completed(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write into ``path`` was committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+def has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a data file; marker files, which are optional, tell nothing."""
+    return any(not name.startswith(("_", ".")) for name in children(spark, path))
+
+
+def files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Data files below paths, which may be folders, files or globs, in order of their names."""
+    out = []
+    for pattern in [path] if isinstance(path, str) else path:
+        fs, p = _fs(spark, pattern)
+        todo = [s for s in fs.globStatus(p) or []]
+        while todo:
+            status = todo.pop()
+            if status.isDirectory():
+                todo += [s for s in fs.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
+            else:
+                out.append(status.getPath().toString())
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without its line end and byte order mark."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    source = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return (source.readLine() or "").lstrip("\ufeff")
+    finally:
+        source.close()
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -76,7 +76,9 @@ def judge(raw: DataFrame) -> DataFrame:
     def unreadable(name: str) -> tuple[Column, str]:
         return c(text_of.get(name, name)).isNotNull() & t(name).isNull(), f"bad_{name}"
 
+    malformed = c("malformed_line").isNotNull() if "malformed_line" in raw.columns else F.lit(False)
     reason = first_reason(
+        (malformed, "malformed_row"),
         (~F.coalesce(casts.is_uuid(c("event_id")), F.lit(False)), SKIPPED_REASON),
         (t("event_timestamp").isNull(), "bad_timestamp"),
         (t("entity_id").isNull(), "bad_entity_id"),
@@ -129,13 +131,14 @@ def reject_counts(judged: DataFrame) -> DataFrame:
     )
 
 
-def fact_transform(raw: DataFrame) -> DataFrame:
+def fact_transform(raw: DataFrame, types: DataFrame | None = None, methods: DataFrame | None = None) -> DataFrame:
     """Typed rows with ids resolved, before duplicate elimination.
 
     Takes raw or judged rows; raw rows are judged first. Order columns are kept.
+    Names are looked up in ``types`` and ``methods``, by default in the seeds.
     """
     judged = raw if "reject_reason" in raw.columns else judge(raw)
-    rows = lookup.fk_lookup(accepted_rows(judged))
+    rows = lookup.fk_lookup(accepted_rows(judged), types, methods)
     columns = typed_columns() | {
         "event_id": F.col("event_id"),
         "event_type_id": F.col("event_type_id"),

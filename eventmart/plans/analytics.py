@@ -27,12 +27,14 @@ def month_column(fact: DataFrame) -> Column:
     return F.col("event_month") if "event_month" in fact.columns else month_of(F.col("event_timestamp"))
 
 
-def q1_monthly_revenue(fact: DataFrame, include_anomalies: bool = False) -> DataFrame:
+def q1_monthly_revenue(
+    fact: DataFrame, include_anomalies: bool = False, types: DataFrame | None = None
+) -> DataFrame:
     """Monthly revenue by event type.
 
     Grouped by the stored id and joined to the names afterwards: the join sees one
     row per group. Anomalies are excluded, so ``anomaly_count`` is 0 unless
-    ``include_anomalies`` is set.
+    ``include_anomalies`` is set. Names come from ``types``, by default the seeds.
     """
     rows = fact if include_anomalies else fact.where(~F.col("is_anomaly"))
     grouped = (
@@ -46,11 +48,11 @@ def q1_monthly_revenue(fact: DataFrame, include_anomalies: bool = False) -> Data
             F.count_if("is_anomaly").alias("anomaly_count"),
         )
     )
-    names = lookup.event_types(fact.sparkSession).select(
+    names = lookup.name_dim(types, lookup.event_types(fact.sparkSession)).select(
         F.col("id").alias("event_type_id"), F.col("name").alias("event_type")
     )
     return (
-        grouped.join(F.broadcast(names), "event_type_id")
+        grouped.join(names, "event_type_id")
         .select(
             "month",
             "event_type",
@@ -64,16 +66,16 @@ def q1_monthly_revenue(fact: DataFrame, include_anomalies: bool = False) -> Data
     )
 
 
-def q2_top_entities(fact: DataFrame, limit: int = 20) -> DataFrame:
+def q2_top_entities(fact: DataFrame, limit: int = 20, methods: DataFrame | None = None) -> DataFrame:
     """Top entities by revenue, with payment counts and the dominant method.
 
     Ties in the dominant method go card, cash, account, voucher; ties in revenue go
     to the lower entity_id.
     """
-    names = lookup.payment_methods(fact.sparkSession).select(
+    names = lookup.name_dim(methods, lookup.payment_methods(fact.sparkSession)).select(
         F.col("id").alias("payment_method_id"), F.col("name").alias("payment_name")
     )
-    rows = fact.where(~F.col("is_anomaly")).join(F.broadcast(names), "payment_method_id")
+    rows = fact.where(~F.col("is_anomaly")).join(names, "payment_method_id")
     methods = ["card", "cash", "account", "voucher"]
     totals = rows.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("total_trips"),
@@ -91,7 +93,7 @@ def q2_top_entities(fact: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
-def daily_rollup(fact: DataFrame) -> DataFrame:
+def daily_rollup(fact: DataFrame, types: DataFrame | None = None) -> DataFrame:
     """Daily report by event type (unresolved types under NULL)."""
     grouped = fact.groupBy(F.to_date("event_timestamp").alias("day"), "event_type_id").agg(
         F.count(F.lit(1)).alias("total_events"),
@@ -99,10 +101,10 @@ def daily_rollup(fact: DataFrame) -> DataFrame:
         F.count_if("is_anomaly").alias("anomaly_count"),
         F.sum("passenger_count").alias("passengers"),
     )
-    names = lookup.event_types(fact.sparkSession).select(
+    names = lookup.name_dim(types, lookup.event_types(fact.sparkSession)).select(
         F.col("id").alias("event_type_id"), F.col("name").alias("event_type")
     )
-    return grouped.join(F.broadcast(names), "event_type_id", "left").select(
+    return grouped.join(names, "event_type_id", "left").select(
         "day", "event_type", "total_events", "gross_revenue", "anomaly_count", "passengers"
     )
 

@@ -66,15 +66,13 @@ class Mart:
         catalog = self.path("catalog")  # an empty folder: dropping a database deletes its location
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{catalog}'")
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.FACT_SCHEMA.fields)
-        known = spark.catalog.tableExists(self.fact_table)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.fact_table} ({columns}, event_month date) USING parquet"
             f" PARTITIONED BY (event_month)"
             f" CLUSTERED BY (event_id) SORTED BY (entity_id) INTO {self.buckets} BUCKETS"
             f" LOCATION '{self.path('fact_events')}'"
         )
-        if not known and storage.exists(spark, self.path("fact_events")):
-            spark.sql(f"MSCK REPAIR TABLE {self.fact_table}")
+        self._recover_months()
         seeds = {
             "dim_event_type": lookup.event_types(spark),
             "dim_payment_method": lookup.payment_methods(spark),
@@ -83,8 +81,13 @@ class Mart:
         empty = {"dim_zone": schemas.ZONE_SCHEMA, "raw_events": schemas.STAGING_SCHEMA}
         seeds |= {n: spark.createDataFrame([], schemas.nullable(schema)) for n, schema in empty.items()}
         for name, rows in seeds.items():
-            if not storage.completed(spark, self.path(name)):
-                rows.write.mode("overwrite").parquet(self.path(name))
+            if not storage.has_data(spark, self.path(name)):
+                rows.write.mode("append").parquet(self.path(name))
+
+    def _recover_months(self) -> None:
+        """Register month folders the catalog doesn't know: what a load left that died after its files."""
+        if storage.exists(self.spark, self.path("fact_events")):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.fact_table}")
 
     def _append(self, members: DataFrame, name: str) -> None:
         """Add dimension members; most loads have none, and then no file is written."""
@@ -123,7 +126,9 @@ class Mart:
 
     def stage_reload(self, raw: DataFrame) -> DataFrame:
         """Replace staging by ``raw``, judged and stamped with the load time."""
-        columns = [*schemas.RAW_COLUMNS, *schemas.ORDER_COLUMNS]
+        if "malformed_line" not in raw.columns:
+            raw = raw.withColumn("malformed_line", F.lit(None).cast("string"))
+        columns = [*schemas.RAW_COLUMNS, *schemas.ORDER_COLUMNS, "malformed_line"]
         judged = transform.judge(raw.select(*columns))
         staged = judged.withColumn("loaded_at", F.current_timestamp())
         staged.select(*schemas.STAGING_SCHEMA.names).write.mode("overwrite").parquet(self.path("raw_events"))
@@ -181,6 +186,7 @@ class Mart:
     ) -> DataFrame:
         """The rows ``insert_facts`` writes, in the layout of the fact table."""
         stored = None
+        self._recover_months()
         if self.months():
             stored = self.fact()
             if scope == "month":
@@ -196,13 +202,14 @@ class Mart:
         ).repartition(self.buckets, "event_id")
 
     def transform_staged(
-        self, staged: DataFrame, on_bad: str = "quarantine", load_id: str = "latest", scope: str = "all"
+        self, staged: DataFrame, on_bad: str = "quarantine", load_id: str | None = None, scope: str = "all"
     ) -> None:
         """Staging to facts: extend dimensions, split off rejects, type, insert.
 
         ``on_bad='fail'`` refuses the whole load when any row is bad for another reason
         than its event_id (those rows are always skipped). ``scope`` is that of
-        ``insert_facts``.
+        ``insert_facts``. Rejects go to the folder of ``load_id``, by default that of
+        the source files: loading the same files again replaces it, others never do.
         """
         if on_bad not in ("quarantine", "fail"):
             raise ValueError("on_bad is 'quarantine' or 'fail'")
@@ -221,14 +228,22 @@ class Mart:
             if errors:
                 found = {r.reject_reason: r["count"] for r in errors}
                 raise ValueError(f"load refused, bad rows: {found}")
+        load_id = load_id or self.load_id_of(staged)
         rejected.write.mode("overwrite").parquet(self.path(f"rejected_events/load_id={load_id}"))
         # All ids of staging, not only the accepted ones: a superset is as good, and a
         # filter here would be evaluated on every stored key as well.
-        facts = transform.fact_transform(judged)
+        facts = transform.fact_transform(judged, self.dim("dim_event_type"), self.dim("dim_payment_method"))
         self.insert_facts(facts, staged.select("event_id"), staged.count(), scope=scope)
 
+    @staticmethod
+    def load_id_of(staged: DataFrame) -> str:
+        """A name of the set of source files: their number and a hash that no order changes."""
+        names = staged.select("source_file").where("source_file IS NOT NULL").distinct()
+        found = names.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("source_file")), F.lit(0)).alias("h")).first()
+        return f"files-{found.n}-{found.h & (2**64 - 1):016x}"
+
     def load_batch(
-        self, raw: DataFrame, on_bad: str = "quarantine", load_id: str = "latest", scope: str = "all"
+        self, raw: DataFrame, on_bad: str = "quarantine", load_id: str | None = None, scope: str = "all"
     ) -> DataFrame:
         """Load raw rows and return the validation figures.
 
@@ -242,6 +257,17 @@ class Mart:
     def rejects(self) -> DataFrame:
         return self.spark.read.parquet(self.path("rejected_events"))
 
+    def name_zones(self, names: DataFrame) -> None:
+        """Write zone names (``names``: zone_id, zone_name) into the stored dimension.
+
+        The new rows are written beside it first, then replace it; the dimension is small.
+        """
+        named = dims.zone_enrich(self.dim("dim_zone"), names)
+        aside = self.path(f"dim_zone-{uuid.uuid4().hex[:12]}")
+        named.write.parquet(aside)
+        self.spark.read.schema(schemas.nullable(schemas.ZONE_SCHEMA)).parquet(aside).write.mode("overwrite").parquet(self.path("dim_zone"))
+        storage.delete(self.spark, aside)
+
     # --- months ---------------------------------------------------------------
 
     def retire_months(self, before: str, archive: str) -> list[str]:

@@ -8,17 +8,25 @@ from eventmart import schemas
 from eventmart.operators import dedup, lookup
 
 
-def stream_as_facts(stream: DataFrame) -> DataFrame:
+def stream_as_facts(
+    stream: DataFrame, types: DataFrame | None = None, methods: DataFrame | None = None
+) -> DataFrame:
     """Stream rows in the shape of facts: names resolved to dimension ids."""
-    return lookup.fk_lookup(stream).select(*schemas.FACT_COLUMNS)
+    return lookup.fk_lookup(stream, types, methods).select(*schemas.FACT_COLUMNS)
 
 
-def unified_events(fact: DataFrame, stream: DataFrame, stream_rows: int | None = None) -> DataFrame:
+def unified_events(
+    fact: DataFrame,
+    stream: DataFrame,
+    stream_rows: int | None = None,
+    types: DataFrame | None = None,
+    methods: DataFrame | None = None,
+) -> DataFrame:
     """All events of both tables once; an event in both is taken from the batch side.
 
     Each side is unique by itself, so only stream rows are matched, against the ids
     of the fact table; fact rows pass through without a shuffle. ``stream_rows``, when
     known, lets the match hash the stream ids instead of sorting the stored ones.
     """
-    extra = dedup.absent_rows(stream_as_facts(stream), fact, keys=stream, key_count=stream_rows)
+    extra = dedup.absent_rows(stream_as_facts(stream, types, methods), fact, keys=stream, key_count=stream_rows)
     return fact.select(*schemas.FACT_COLUMNS).unionByName(extra)

@@ -64,6 +64,7 @@ STAGING_SCHEMA = T.StructType(
         T.StructField("source_file", T.StringType()),
         T.StructField("source_block", T.LongType()),
         T.StructField("source_row", T.LongType()),
+        T.StructField("malformed_line", T.StringType()),
         T.StructField("reject_reason", T.StringType()),
         T.StructField("loaded_at", T.TimestampType()),
     ]

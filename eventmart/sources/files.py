@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart import schemas
+from eventmart.operators import storage
 
 
 def file_place() -> list[Column]:
@@ -25,14 +28,18 @@ def arrival_order() -> list[Column]:
     return [*file_place(), F.monotonically_increasing_id().alias("source_row")]
 
 
-def csv_scan_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def csv_scan_raw(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Positional CSV scan into the fourteen text columns; the header line is skipped.
 
-    Empty fields are NULL. ``multi_line`` is needed only for quoted line breaks; it
+    Empty fields are NULL. A line with another number of fields is kept whole in
+    ``malformed_line``, which is NULL for all others. ``multi_line`` is needed only for quoted line breaks; it
     makes every file one task, so it is off by default.
     """
     rows = (
-        spark.read.schema(schemas.RAW_SCHEMA)
+        spark.read.schema(T.StructType([*schemas.RAW_SCHEMA.fields, T.StructField("malformed_line", T.StringType())]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "malformed_line")
+        .option("columnPruning", False)  # a pruned parse doesn't see how many fields a line has
         .option("header", True)
         .option("enforceSchema", True)
         .option("nullValue", "")
@@ -41,22 +48,30 @@ def csv_scan_raw(spark: SparkSession, path: str, multi_line: bool = False) -> Da
         .option("multiLine", multi_line)
         .csv(path)
     )
-    return rows.select(*schemas.RAW_COLUMNS, *arrival_order())
+    return rows.select(*schemas.RAW_COLUMNS, "malformed_line", *arrival_order())
 
 
-def csv_scan_by_name(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def csv_scan_by_name(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """CSV scan by header name: any column order, all text, missing columns NULL.
 
-    Only the header of the files is looked at to find the columns.
+    Every file has its own header. Files are listed and their first lines read; those
+    with the same header make one scan.
     """
     reader = spark.read.option("header", True).option("nullValue", "").option("quote", '"').option("escape", '"')
-    header = reader.option("multiLine", multi_line).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    rows = reader.schema(schema).option("enforceSchema", True).option("multiLine", multi_line).csv(path)
-    columns = [
-        F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in schemas.RAW_COLUMNS
-    ]
-    return rows.select(*columns, *arrival_order())
+    reader = reader.option("enforceSchema", True).option("multiLine", multi_line)
+    by_header: dict[str, list[str]] = {}
+    for file in storage.files(spark, path):
+        by_header.setdefault(storage.first_line(spark, file), []).append(file)
+    out = None
+    for line, files in by_header.items():
+        header = next(csv.reader([line]), [])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        columns = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in schemas.RAW_COLUMNS]
+        rows = reader.schema(schema).csv(files).select(*columns, *arrival_order())
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file at {path}")
+    return out
 
 
 def csv_write(df: DataFrame, path: str) -> None:

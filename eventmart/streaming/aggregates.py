@@ -5,82 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from eventmart import schemas
-from eventmart.operators import dedup, storage
+from eventmart.operators import storage
 from eventmart.operators.access import month_of
-from eventmart.session import configure
-from eventmart.streaming.ingest import STORED_SCHEMA, Ingest
+from eventmart.streaming.ingest import Ingest
 
 REVENUE_SCHEMA = T.StructType(
     [
         T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("total_events", T.LongType()),
         T.StructField("gross_revenue", T.DecimalType(20, 2)),
+        T.StructField("run_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
-def stored_event_stream(spark: SparkSession, target: str) -> DataFrame:
-    """The stream table as a stream: its rows are already unique per event_id."""
-    reader = spark.readStream.schema(schemas.nullable(STORED_SCHEMA))
-    return reader.parquet(f"{target}/streaming_events")
-
-
-def windowed_revenue(events: DataFrame, delay: str, window: str = "1 day") -> DataFrame:
-    """Events and revenue (anomalies excluded) per window and event type.
-
-    State is one row per open window and type; windows older than ``delay`` behind
-    the newest event are closed and their late rows dropped. The stream table
-    remains the source of truth, it accepts any lateness.
-    """
+def window_sums(events: DataFrame, window: str = "1 day") -> DataFrame:
+    """Events and revenue (anomalies excluded) per window and event type."""
     clean = F.when(~F.col("is_anomaly"), F.col("total_value"))
-    return (
-        events.withWatermark("event_timestamp", delay)
-        .groupBy(F.window("event_timestamp", window).alias("w"), "event_type")
-        .agg(F.count(F.lit(1)).alias("total_events"), F.sum(clean).alias("gross_revenue"))
-        .select("w.start", "w.end", "event_type", "total_events", "gross_revenue")
-        .withColumnsRenamed({"start": "window_start", "end": "window_end"})
+    sums = events.groupBy(F.window("event_timestamp", window).alias("w"), "event_type").agg(
+        F.count(F.lit(1)).alias("total_events"), F.sum(clean).cast("decimal(20,2)").alias("gross_revenue")
     )
+    return sums.select(F.col("w.start").alias("window_start"), "event_type", "total_events", "gross_revenue")
 
 
-def start_revenue_agg(
-    events: DataFrame, target: str, checkpoint: str, delay: str, window: str = "1 day"
-) -> StreamingQuery:
-    """Keep ``target`` up to date with the changed windows of every micro-batch.
+class RevenueSink(Ingest):
+    """Ingest that keeps partial revenue sums of every batch, in a folder of the batch.
 
-    ``target`` belongs to one checkpoint; a repeated batch replaces its folder.
+    A repeated batch replaces its sums, so they count every stored event once, and events
+    of any age are in them: there is no watermark. ``revenue`` adds the parts up.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+    window = "1 day"
 
-    configure(events.sparkSession)
-    return (
-        windowed_revenue(events, delay, window)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def write(self, batch: DataFrame, batch_id: int) -> bool:
+        wrote = super().write(batch, batch_id)
+        if wrote:
+            rows = self.spark.read.schema(schemas.nullable(schemas.STREAM_SCHEMA)).parquet(self.folder("streaming_events", batch_id))
+            window_sums(rows, self.window).coalesce(1).write.mode("overwrite").parquet(self.folder("revenue_parts", batch_id))
+        return wrote
 
 
-def latest_revenue(spark: SparkSession, target: str) -> DataFrame:
-    """The last value of every window and type."""
-    updates = storage.read_or_empty(spark, target, REVENUE_SCHEMA)
-    newest = updates.withColumn("__age", -F.col("batch_id"))
-    keys = ["window_start", "window_end", "event_type"]
-    return dedup.dedup_first_wins(newest, keys, ["__age"]).drop("__age", "batch_id")
+def revenue(spark: SparkSession, target: str) -> DataFrame:
+    """Events and revenue per window and event type, over all batches of all runs."""
+    parts = storage.read_or_empty(spark, f"{target}/revenue_parts", REVENUE_SCHEMA)
+    return parts.groupBy("window_start", "event_type").agg(
+        F.sum("total_events").alias("total_events"), F.sum("gross_revenue").alias("gross_revenue")
+    )
 
 
 def freshness(events: DataFrame, by: list[str | Column], target_seconds: int = 30) -> DataFrame:
-    """Delay between event and receipt: maximum, 95th percentile and rows within the target."""
-    lag = F.unix_timestamp("received_at") - F.unix_timestamp("event_timestamp")
+    """Delay between event and receipt, in seconds to the microsecond: maximum, 95th percentile and rows within the target."""
+    lag = (F.unix_micros("received_at") - F.unix_micros("event_timestamp")) / 1_000_000
     return (
         events.withColumn("lag_seconds", lag)
         .groupBy(*by)
@@ -101,11 +80,10 @@ class DualSink(Ingest):
     repeated batch replaces its own rows there too.
     """
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        super().write(batch, batch_id)
+    def write(self, batch: DataFrame, batch_id: int) -> bool:
+        if not super().write(batch, batch_id):
+            return False
         events = self.folder("streaming_events", batch_id)
-        if not storage.completed(self.spark, events):
-            return
         rows = self.spark.read.schema(schemas.nullable(schemas.STREAM_SCHEMA)).parquet(events)
         keyed = rows.select(
             "*",
@@ -117,6 +95,7 @@ class DualSink(Ingest):
         keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "event_month", "run_id", "batch_id"
         ).parquet(f"{self.target}/analytical_events")
+        return True
 
 
 def analytical_events(spark: SparkSession, target: str) -> DataFrame:

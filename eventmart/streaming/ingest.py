@@ -112,7 +112,12 @@ class Ingest:
     @staticmethod
     def save(rows: DataFrame, path: str, at_most: int) -> None:
         """Write a folder of the batch, ``at_most`` rows, replacing what a failed try left."""
-        rows.coalesce(at_most // ROWS_PER_FILE + 1).write.mode("overwrite").parquet(path)
+        Ingest.sized(rows, at_most).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def sized(rows: DataFrame, at_most: int) -> DataFrame:
+        """As many partitions as files. Only the new rows are shuffled; the join with the history before it keeps its width."""
+        return rows.repartition(at_most // ROWS_PER_FILE + 1)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Rows of one split are numbered here, before any shuffle, where the source did not.
@@ -123,7 +128,8 @@ class Ingest:
         finally:
             batch.unpersist()
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
+    def write(self, batch: DataFrame, batch_id: int) -> bool:
+        """Write the batch; False if it had no messages."""
         good = F.col("reject_reason").isNull()
         counts = batch.agg(
             F.count(F.lit(1)).alias("received"),
@@ -131,7 +137,7 @@ class Ingest:
             F.count_if(good & F.col("is_anomaly")).alias("anomalies"),
         ).first()  # one aggregate row
         if counts.received == 0:
-            return
+            return False
         rows = fresh = batch.where(good)
         if self.dedup_mode == "table":  # the streaming state has done it otherwise
             fresh = dedup.dedup_first_wins(fresh)
@@ -156,6 +162,7 @@ class Ingest:
             *[F.lit(v).cast("long").alias(n) for n, v in values.items()], F.current_timestamp().alias("logged_at")
         )
         row.write.mode("overwrite").parquet(self.folder("stream_metrics", batch_id))
+        return True
 
 
 def first_in_state(parsed: DataFrame) -> DataFrame:

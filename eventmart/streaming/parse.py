@@ -54,7 +54,7 @@ def stream_parse(decoded: DataFrame) -> DataFrame:
         (t("event_timestamp").isNull(), "bad_timestamp"),
         (t("entity_id").isNull(), "bad_entity_id"),
         *[
-            (casts.stream_out_of_range(c(text), t(name)), f"out_of_range_{name}")
+            (casts.stream_out_of_range(c(text), t(name), name in INTEGERS), f"out_of_range_{name}")
             for name, text in sources.items()
         ],
     )

@@ -226,6 +226,24 @@ ORACLES = {
     # sources
     "csv_scan_raw": RAW + f"SELECT {NAMES} FROM raw",
     "csv_scan_by_name": RAW + f"SELECT {NAMES} FROM raw",
+    "csv_malformed_rows": RAW
+    + f"""SELECT coalesce({REASON}, 'accepted') AS reject_reason, count(*) AS row_count, 0::BIGINT AS lines_kept
+ FROM raw GROUP BY 1 UNION ALL SELECT 'malformed_row', 2 * count(*), 2 * count(*) FROM raw""",
+    "csv_by_name_mixed_headers": RAW + f"SELECT {NAMES} FROM raw UNION ALL SELECT {NAMES} FROM raw",
+    "dim_extended": CLEAN.replace("(5::SMALLINT, 'scheduled')", "(5::SMALLINT, 'scheduled'), (6::SMALLINT, 'mystery')")
+    + """, n AS (SELECT count(*) AS found FROM fact WHERE event_type_id = 6)
+ SELECT et.name AS event_type, count(*) AS in_q1, any_value(n.found) AS found FROM fact
+ JOIN dim_event_type et ON et.id = fact.event_type_id, n WHERE NOT is_anomaly GROUP BY 1""",
+    "load_rejects_two_loads": "WITH "
+    + raw_cte("raw")
+    + ", "
+    + raw_cte("dirty", True)
+    + f""" SELECT 'clean' AS source_file, {REASON} AS reject_reason, count(*) AS row_count FROM raw
+ WHERE {REASON} IS NOT NULL GROUP BY 2 UNION ALL SELECT 'dirty', {REASON}, count(*) FROM dirty
+ WHERE {REASON} IS NOT NULL GROUP BY 2""",
+    "zone_names_stored": CLEAN
+    + """SELECT DISTINCT z AS zone_id, 'Zone ' || z AS zone_name FROM
+ (SELECT CAST(zone_id AS INTEGER) AS z FROM raw UNION SELECT CAST(destination_id AS INTEGER) FROM raw)""",
     "stage_reload": RAW_DIRTY + f"SELECT {NAMES}, {REASON} AS reject_reason FROM dirty",
     "rows_to_json": RAW_DIRTY + f"SELECT event_id AS key, {json_text()} AS value FROM dirty",
     "json_decode": RAW
@@ -388,7 +406,7 @@ ORACLES = {
     + f"""SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, event_type,
  count(*) AS total_events, {MONEY_IF_CLEAN} AS gross_revenue FROM stream GROUP BY 1, 2""",
     "freshness": CLEAN
-    + """SELECT event_type_id, count(*) AS row_count, CAST(max(zone_id * 7 % 45) AS BIGINT) AS max_lag_seconds,
+    + """SELECT event_type_id, count(*) AS row_count, CAST(max(zone_id * 7 % 45) AS DOUBLE) AS max_lag_seconds,
  count(*) FILTER (WHERE zone_id * 7 % 45 <= 30) AS within_target FROM fact GROUP BY 1""",
     "dual_sink": STREAM
     + """SELECT copy, CAST(date_trunc('month', event_timestamp) AS DATE) AS month, count(*) AS row_count,
@@ -410,3 +428,5 @@ ORACLES = {
  LEFT JOIN dim_payment_method pm ON s.payment_method = pm.name
  WHERE event_id NOT IN (SELECT event_id FROM fact)""",
 }
+
+ORACLES["stream_revenue_repeated"] = ORACLES["stream_revenue_agg"]

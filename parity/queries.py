@@ -120,6 +120,29 @@ def csv_scan_by_name(spark, sf_dir):
     return texts(files.csv_scan_by_name(spark, path))
 
 
+@query
+def csv_malformed_rows(spark, sf_dir):
+    """All rows three times: well-formed, without their last field, and with one more."""
+    rows, path = texts(raw(spark, sf_dir)), fresh_path(spark, "csv")
+    more = rows.withColumn("extra", F.lit("x"))
+    for name, df in (("good", rows), ("short", rows.select(*schemas.RAW_COLUMNS[:-1])), ("long", more)):
+        files.csv_write(df, f"{path}/{name}")
+    scan = files.csv_scan_raw(spark, [f"{path}/{n}" for n in ("good", "short", "long")])
+    judged = transform.judge(scan)
+    return judged.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("reject_reason")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("malformed_line").alias("lines_kept")
+    )
+
+
+@query
+def csv_by_name_mixed_headers(spark, sf_dir):
+    """Files whose columns stand in opposite order, in one scan."""
+    rows, path = texts(raw(spark, sf_dir)), fresh_path(spark, "csv")
+    files.csv_write(rows, f"{path}/forward")
+    files.csv_write(rows.select(*reversed(schemas.RAW_COLUMNS)), f"{path}/backward")
+    return texts(files.csv_scan_by_name(spark, path))
+
+
 @query
 def stage_reload(spark, sf_dir):
     mart = new_mart(spark)
@@ -153,6 +176,39 @@ def fact_transform(spark, sf_dir):
     return plain(transform.fact_transform(raw(spark, sf_dir)).select(*schemas.FACT_COLUMNS))
 
 
+@query
+def dim_extended(spark, sf_dir):
+    """A sixth event type and a fifth payment method, stored before the load: Q1, Q2's methods and the type's facts know them."""
+    mart = new_mart(spark)
+    for name, row in (("dim_event_type", (6, "mystery")), ("dim_payment_method", (5, "barter"))):
+        spark.createDataFrame([row], mart.dim(name).schema).write.mode("append").parquet(mart.path(name))
+    mart.load_batch(raw(spark, sf_dir))
+    types = mart.dim("dim_event_type")
+    q1 = analytics.q1_monthly_revenue(mart.fact(), types=types).groupBy("event_type").agg(F.sum("total_events").alias("in_q1"))
+    found = access.type_lookup(mart.fact(), "mystery", types).agg(F.count(F.lit(1)).alias("found"))
+    n = found.first().found
+    return q1.withColumn("found", F.lit(n).cast("long"))
+
+
+@query
+def load_rejects_two_loads(spark, sf_dir):
+    """Rejects of a load stay when other files are loaded, and are replaced when the same are."""
+    mart = new_mart(spark)
+    loads = [(raw(spark, sf_dir), "clean"), (raw(spark, sf_dir, dirty=True), "dirty")]
+    for rows, name in [*loads, loads[0]]:
+        mart.load_batch(rows.withColumn("source_file", F.lit(name)))
+    return mart.rejects().groupBy("source_file", "reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def zone_names_stored(spark, sf_dir):
+    """Zone names written into the stored dimension."""
+    mart = loaded_mart(spark, sf_dir)
+    names = mart.dim("dim_zone").select("zone_id", F.concat(F.lit("Zone "), "zone_id").alias("zone_name"))
+    mart.name_zones(names)
+    return mart.dim("dim_zone")
+
+
 @query
 def fk_lookup(spark, sf_dir):
     out = lookup.fk_lookup(raw(spark, sf_dir))
@@ -456,11 +512,23 @@ def stream_metrics(spark, sf_dir):
 
 @query
 def stream_revenue_agg(spark, sf_dir):
-    """Daily windows over the ingested stream; the delay spans the whole fixture."""
-    target, out = ingested(spark, sf_dir), fresh_path(spark, "revenue")
-    events = aggregates.stored_event_stream(spark, target)
-    ingest.drain(aggregates.start_revenue_agg(events, out, fresh_path(spark, "checkpoint"), "120 days"))
-    return plain(aggregates.latest_revenue(spark, out).drop("window_end"))
+    """Daily windows over the ingested stream."""
+    target = ingested(spark, sf_dir, sink=aggregates.RevenueSink)
+    return plain(aggregates.revenue(spark, target))
+
+
+class Twice(aggregates.RevenueSink):
+    """Every batch is written, and written again as after a failure."""
+
+    def write(self, batch: DataFrame, batch_id: int) -> bool:
+        super().write(batch, batch_id)
+        return super().write(batch, batch_id)
+
+
+@query
+def stream_revenue_repeated(spark, sf_dir):
+    """The same revenue when every micro-batch is repeated."""
+    return plain(aggregates.revenue(spark, ingested(spark, sf_dir, sink=Twice)))
 
 
 @query

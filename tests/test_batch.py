@@ -284,3 +284,55 @@ def test_tables_can_be_queried_in_sql(mart, spark, raw_rows):
         ("standard", "2024-10-01", 2, 1),
     ]
     assert spark.table("t_streaming_events").count() == 0 and spark.table("t_raw_events").count() == 3
+
+
+def test_reopening_without_success_markers_keeps_all(spark, raw_rows):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        root = fresh_path(spark, "mart")
+        mart = Mart(spark, root)
+        mart.load_batch(raw_rows([row(1), row(2, vendor_id="9")]))
+        before = [mart.dim(n).count() for n in ("dim_zone", "dim_vendor")] + [mart.raw().count()]
+        again = Mart(spark, root)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert [again.dim(n).count() for n in ("dim_zone", "dim_vendor")] + [again.raw().count()] == before
+
+
+def test_a_lost_partition_entry_is_found_again(spark, raw_rows):
+    mart = Mart(spark, fresh_path(spark, "mart"))
+    rows = raw_rows([row(1), row(2)])
+    mart.load_batch(rows)
+    # drop the entry and keep the files: as an external table does
+    spark.sql(f"ALTER TABLE {mart.fact_table} DROP PARTITION (event_month = DATE'2024-10-01')")
+    mart.load_batch(rows)
+    assert mart.fact().count() == 2
+
+
+def test_rejects_of_other_files_stay(spark, raw_rows):
+    mart = Mart(spark, fresh_path(spark, "mart"))
+    for source, bad in (("a", "x"), ("b", "y"), ("a", "x")):
+        mart.load_batch(raw_rows([row(1), row(2, event_id=bad)], source))
+    assert sorted(r.event_id for r in mart.rejects().collect()) == ["x", "y"]
+
+
+def test_ragged_lines_are_rejected_with_their_text(spark, tmp_path):
+    good = ",".join(row(1)[c] for c in schemas.RAW_COLUMNS)
+    short, long = good.rsplit(",", 1)[0], good.replace("00000001-", "00000003-") + ",more"
+    path = tmp_path / "in.csv"
+    path.write_text("\n".join([",".join(schemas.RAW_COLUMNS), good, short, long]) + "\n")
+    mart = Mart(spark, fresh_path(spark, "mart"))
+    mart.load_batch(files.csv_scan_raw(spark, str(path)))
+    assert mart.fact().count() == 1
+    assert sorted((r.reject_reason, r.malformed_line) for r in mart.rejects().collect()) == sorted([("malformed_row", short), ("malformed_row", long)])
+    with pytest.raises(ValueError, match="malformed_row"):
+        mart.load_batch(files.csv_scan_raw(spark, str(path)), on_bad="fail")
+
+
+def test_offsets_and_the_end_of_a_time_range(spark, raw_rows):
+    mart = Mart(spark, fresh_path(spark, "mart"))
+    times = ["2024-09-30 23:30:00", "2024-10-01 00:30:00", "2024-10-31 23:59:59", "2024-11-01 00:00:00"]
+    mart.load_batch(raw_rows([row(i, event_timestamp=t) for i, t in enumerate(times)]))
+    assert access.time_range(mart.fact(), "2024-10-01 01:00:00+02:00", "2024-11-01").count() == 3
+    assert access.time_range(mart.fact(), "2024-10-01", "2024-11-01").count() == 2

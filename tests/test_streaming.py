@@ -10,7 +10,7 @@ from conftest import row, uuid_of
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-from eventmart.operators import lookup, transform
+from eventmart.operators import dedup, lookup, transform
 from eventmart.plans import unify
 from eventmart.session import fresh_path
 from eventmart.sources import messages
@@ -162,33 +162,58 @@ def test_dual_sink_keeps_both_copies_equal(spark, topic):
     assert {str(r.event_month) for r in copy.collect()} == {"2024-10-01", "2024-11-01"}
 
 
-def test_windowed_revenue_over_several_batches(spark, topic):
-    target, out, checkpoint = (fresh_path(spark, n) for n in ("stream", "revenue", "checkpoint"))
-    ingest_checkpoint = fresh_path(spark, "checkpoint")
+class Twice(aggregates.RevenueSink):
+    def write(self, batch, batch_id):
+        super().write(batch, batch_id)
+        return super().write(batch, batch_id)
+
+
+@pytest.mark.parametrize("sink", [aggregates.RevenueSink, Twice])
+def test_windowed_revenue_over_several_batches(spark, topic, sink):
+    """Also when every batch is written twice; the late event of the second batch counts too."""
+    target, checkpoint = fresh_path(spark, "stream"), fresh_path(spark, "checkpoint")
     source = topic("1.json", [message(1), message(2, total_value="-5"), message(3, event_type="bulk")])
-    for more in ([], [message(4, total_value="1.50"), message(5, event_timestamp="2024-10-02")]):
-        if more:
-            topic("2.json", more)
-        run(spark, source, target, ingest_checkpoint)
-        events = aggregates.stored_event_stream(spark, target)
-        ingest.drain(aggregates.start_revenue_agg(events, out, checkpoint, "10 days"))
-    got = {(str(r.window_start)[:10], r.event_type): (r.total_events, r.gross_revenue) for r in aggregates.latest_revenue(spark, out).collect()}
+    run(spark, source, target, checkpoint, sink=sink)
+    topic("2.json", [message(4, total_value="1.50"), message(5, event_timestamp="2024-10-02"), message(6, event_timestamp="2020-01-01"), message(1)])
+    run(spark, source, target, checkpoint, sink=sink)
+    got = {(str(r.window_start)[:10], r.event_type): (r.total_events, r.gross_revenue) for r in aggregates.revenue(spark, target).collect()}
     assert got == {
         ("2024-10-01", "standard"): (3, Decimal("12.50")),
         ("2024-10-01", "bulk"): (1, Decimal("11.00")),
         ("2024-10-02", "standard"): (1, Decimal("11.00")),
+        ("2020-01-01", "standard"): (1, Decimal("11.00")),
     }
 
 
+def test_files_of_a_batch_do_not_narrow_the_join_with_the_history(spark):
+    new, history = (spark.range(100).select(F.col("id").cast("string").alias("event_id")) for _ in range(2))
+    fresh = dedup.absent_rows(new, history, key_count=10_000_000)
+    plan = ingest.Ingest.sized(fresh, 2 * ingest.ROWS_PER_FILE)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+    assert plan.index("RoundRobinPartitioning(3)") < plan.index("Join")
+
+
+def test_sinks_without_success_markers(spark, topic):
+    """Both copies are written where no marker files are."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        target = fresh_path(spark, "stream")
+        run(spark, topic("1.json", [message(1)]), target, fresh_path(spark, "checkpoint"), sink=aggregates.DualSink)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert aggregates.analytical_events(spark, target).count() == 1
+
+
 def test_freshness(spark):
-    rows = [("a", 5), ("a", 31), ("b", 30)]
-    events = spark.createDataFrame(rows, "g string, lag int").select(
+    rows = [("a", 5.0), ("a", 30.9), ("b", 30.0)]
+    events = spark.createDataFrame(rows, "g string, lag double").select(
         "g",
         F.timestamp_seconds(F.lit(1_000_000)).alias("event_timestamp"),
-        F.timestamp_seconds(F.lit(1_000_000) + F.col("lag")).alias("received_at"),
+        F.timestamp_micros(F.lit(1_000_000_000_000) + (F.col("lag") * 1_000_000).cast("long")).alias("received_at"),
     )
     got = {r.g: (r.row_count, r.max_lag_seconds, r.within_target) for r in aggregates.freshness(events, ["g"]).collect()}
-    assert got == {"a": (2, 31, 1), "b": (1, 30, 1)}
+    assert got == {"a": (2, 30.9, 1), "b": (1, 30.0, 1)}
 
 
 def test_unified_takes_the_batch_side_first(spark, raw_rows):
