@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmart.llm import decontaminate, html_text, jaccard, langid, mixing, secrets, separators, token_files, urls, vectors
 from eventmart.llm.common import table
+from eventmart.llm.oracles import ORACLES  # noqa: F401  read by __spark_entry__
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -41,7 +42,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(table(spark, sf_dir, "pages")).drop("score")
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +69,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLES: dict[str, str] = {}
