@@ -1,6 +1,6 @@
 """Operator 4: benchmark decontamination by rare n-gram seeds and local alignment.
 
-Seeds are word trigrams of the test items. Counted over the whole corpus, those
+Words are compared in lower case. Seeds are word trigrams of the test items. Counted over the whole corpus, those
 that are far more common than an item's others are dropped as seeds of it. Where a
 remaining seed occurs in a text, the passage around it and the item are aligned
 word by word (Smith-Waterman: a match 2, a mismatch or a gap -1). The score is the
@@ -37,12 +37,17 @@ CELLS = 400_000
 FILTER_BITS = 22
 
 
+def _hashed(text: str | None) -> np.ndarray:
+    """Hashes of the words of a text in lower case, of any alphabet."""
+    return words((text or "").lower().encode())[2]
+
+
 class Items:
     """Test items of one chunk: their words, and the postings of their seeds."""
 
     def __init__(self, rows: list[tuple[int, str | None]]):
         self.ids = [r[0] for r in rows]
-        self.words = [words((r[1] or "").encode())[2] for r in rows]
+        self.words = [_hashed(r[1]) for r in rows]
         found = [grams(w, SEED_WORDS) for w in self.words]
         self.item = np.repeat(np.arange(len(rows)), [len(g) for g in found])
         self.at = np.concatenate([np.arange(len(g)) for g in found]) if rows else np.empty(0, int)
@@ -190,8 +195,8 @@ def _search(spark, texts: DataFrame, items: Items, threshold: float) -> DataFram
         n = np.zeros(len(items.seeds), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                for text in part.column("text").cast(pa.binary()).to_pylist():
-                    n[np.unique(items.hits(words(text)[2])[1])] += 1
+                for text in part.column("text").to_pylist():
+                    n[np.unique(items.hits(_hashed(text))[1])] += 1
         found = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n[found])], ["seed", "n"])
 
@@ -206,7 +211,7 @@ def _search(spark, texts: DataFrame, items: Items, threshold: float) -> DataFram
         items = rare.value
         for batch in batches:
             for part in slices(batch, "text"):
-                hashes = [words(t)[2] for t in part.column("text").cast(pa.binary()).to_pylist()] if len(items.seeds) else []
+                hashes = [_hashed(t) for t in part.column("text").to_pylist()] if len(items.seeds) else []
                 pairs = [(k, *w) for k, h in enumerate(hashes) for w in items.windows(h)]
                 rows = _aligned(items, hashes, pairs, threshold)
                 ids, prints = (part.column(c).to_pylist() for c in ("doc_id", "text_hash"))

@@ -141,3 +141,10 @@ def test_chunks_of_the_benchmark(spark, documents, monkeypatch):
     monkeypatch.setattr(decontaminate, "CHUNK_BYTES", 400)
     found = decontaminate.contamination(documents(rows), items)
     assert sorted((r.doc_id, r.item_id) for r in found.select("doc_id", "item_id").filter(F.col("score") == 1).collect()) == [(i, i) for i in range(12)]
+
+
+def test_letter_case_of_any_alphabet(spark, documents):
+    item = "Éaînt der Öl ñandú passage über größere Dinge als âne"
+    rows = [(1, f"x {item.upper()} y"), (2, item.lower()), (3, "another text without it")]
+    found = decontaminate.contamination(documents(rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 2}
