@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,7 +34,29 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable for the Python workers, if it isn't on their path already.
+
+    Jobs that are submitted with it (--py-files, an installed wheel) have it there.
+    """
+    paths = {Path(p).resolve() for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
+    context = spark.sparkContext
+    if ROOT in paths or "site-packages" in ROOT.parts or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp()) / "eventmart.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in sorted((ROOT / "eventmart").rglob("*.py")):
+            out.write(f, f.relative_to(ROOT))
+    context.addPyFile(str(archive))  # served to the executors by the driver
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
