@@ -160,10 +160,14 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, special_as_text: bool = False) -> Iterator[tuple[list, list[bytes]]]:
     """Ids of documents, and the ids of their texts, slice by slice."""
     own = encoder(tokenizer, special_as_text)
-    for batch in batches:
-        for part in slices(batch, "text"):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            yield part.column("doc_id").to_pylist(), own.encode(texts)
+    try:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                yield part.column("doc_id").to_pylist(), own.encode(texts)
+    finally:
+        # the worker lives on and runs tasks of other stages
+        own.pieces.clear()
 
 
 def to_file(uri: str, write: Callable) -> None:

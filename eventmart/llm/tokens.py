@@ -9,8 +9,8 @@ import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-#: Pieces kept between batches; a full cache is emptied, which changes speed only.
-CACHE_PIECES = 1_000_000
+#: Pieces kept within a task; a full cache is emptied, which changes speed only.
+CACHE_PIECES = 400_000
 #: How a byte-level vocabulary writes a space.
 SPACE = "\u0120"
 
@@ -85,5 +85,5 @@ class Encoder:
 
 @lru_cache(2)
 def encoder(path: str, special_as_text: bool = False) -> Encoder:
-    """The encoder of a worker process: its cache stays warm from task to task."""
+    """The encoder of a worker process, loaded once; tasks empty its cache when they end."""
     return Encoder(path, special_as_text)
