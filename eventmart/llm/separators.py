@@ -9,6 +9,7 @@ were left open. A document of any length may span any number of blocks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import small, staged
-from eventmart.llm.token_files import encoded, in_order, to_file, uri_of
+from eventmart.llm.token_files import encoded, to_file, uri_of
 from eventmart.session import fresh_path
 
 #: Bytes of a block; a multiple of the id size.
@@ -27,11 +28,12 @@ BLOCK_BYTES = 4 << 20
 
 
 def write_flat_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, dtype: str = "<u2") -> DataFrame:
-    """Write ids of all texts, in order of doc_id, and return (file, ordinal, doc_id).
+    """Write ids of all texts, in the order in which the table is read, and return (file, ordinal, doc_id).
 
     Text never yields ``end_id``: its string in a text is encoded as ordinary text.
-    Null texts are empty and take just the separator. The returned rows are what a
-    loader knows of the order; the token files hold no trace of it.
+    Null texts are empty and take just the separator. Texts aren't shuffled. Every
+    attempt of a task writes a file of its own, and the returned rows name those that count;
+    of documents and where they end, the files hold no trace.
     """
     out = uri_of(out)
 
@@ -40,7 +42,7 @@ def write_flat_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, dty
         first = next(rows, None)
         if first is None:
             return
-        uri, ids = f"{out}/part-{TaskContext.get().partitionId():06d}.bin", []
+        uri, ids = f"{out}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.bin", []
 
         def fill(sink) -> None:
             found, end = first, int(end_id).to_bytes(4, "little")
@@ -58,7 +60,8 @@ def write_flat_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, dty
                 ["file", "ordinal", "doc_id"],
             )
 
-    order = in_order(docs, "doc_id", "text").mapInArrow(write, "file string, ordinal long, doc_id long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    order = rows.mapInArrow(write, "file string, ordinal long, doc_id long")
     return staged(order, "flat-order")
 
 
