@@ -34,15 +34,18 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+#: Bytes of an Arrow batch: what a Python worker holds of its input at a time.
+BATCH_BYTES = 8 << 20
 ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable for the Python workers, if it isn't on their path already.
+    """Bound the batches of the Python workers, and make the package importable for them, if it isn't on their path already.
 
     Jobs that are submitted with it (--py-files, an installed wheel) have it there.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     paths = {Path(p).resolve() for p in [".", *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
     context = spark.sparkContext
     if ROOT in paths or "site-packages" in ROOT.parts or context.applicationId in _shipped:
