@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm import decontaminate, jaccard, langid, mixing, token_files
-from eventmart.llm.common import small, staged, table
+from eventmart.llm.common import ship, small, staged, table
 from eventmart.llm.queries import END_ID, TOKENIZER
 
 #: Share of a text that its language has to have.
@@ -22,6 +22,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model is learned from the labelled rows of ``docs`` that aren't held out.
     """
+    ship(spark)
     langs, model = langid.learn(docs.filter(~langid.held_out() & F.col("doc_id").isNotNull()))
     rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "text")
     kept = langid.predict(rows, langs, model).filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
