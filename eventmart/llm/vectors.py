@@ -1,7 +1,8 @@
 """Operator 9: near duplicates among embeddings by NN-descent.
 
 Every vector keeps a list of its ``NEIGHBOURS`` nearest so far. Lists begin with what shares a leaf of
-a few random projection trees, and are refined by local joins: the vectors that list a
+random projection trees: so many that they part a pair at the threshold in all trees with a probability
+of ``MISS`` at most, whatever else the table holds. They are refined by local joins: the vectors that list a
 vector, or are listed by it, meet and compare, since a neighbour's neighbour is likely a
 neighbour. Rounds go on until they find hardly any new link.
 
@@ -9,14 +10,16 @@ A vector whose whole list is above the threshold is saturated: it may have more
 links than its list holds. Its list is then enlarged to its component: all members of
 a component are compared with each other, in pairs of blocks, and counted exactly. So what
 the graph has to get right is which vectors are connected, and that is audited:
-for a sample of vectors, the links by brute force are held against the components, and
-missing ones start further rounds.
+for samples of vectors and of components, the links by brute force are held against the components,
+and vectors that miss one start further rounds, however many links others have.
 
-Equal vectors are one node. Leaves and lists of any size are split into bounded chunks.
+Equal vectors are one node. Leaves and lists of any size are split into bounded chunks, and the
+chunks of a leaf meet in pairs, except for vectors that are known to be connected.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,13 +34,15 @@ from eventmart.llm.components import components
 THRESHOLD = 0.95
 NEIGHBOURS = 8
 TREES = 5
+#: Probability that no leaf holds both of a pair whose cosine is the threshold.
+MISS = 0.001
 #: Vectors that meet in one task, at most about twice as many.
 LEAF = 160
 BLOCK = 256
 #: A round that adds fewer links than this share of them is the last.
 SETTLED = 0.001
 ROUNDS = 4
-#: Vectors whose links are sought by brute force, and the share of links to have.
+#: Vectors, and as many components, of which links are sought by brute force, and the share of those with links that has to have all.
 AUDIT, RECALL, AUDITS = 256, 0.99, 3
 
 
@@ -120,9 +125,19 @@ def _chunked(rows: DataFrame, key: list[str], salt: int) -> DataFrame:
     return rows.withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("node", F.lit(salt), *key), F.col("chunks")), F.lit(0)).cast("long")).drop("chunks")
 
 
-def leaves(nodes: DataFrame, n: int, seed: int) -> DataFrame:
-    """``nodes`` (node, dims, vec) once per tree, with the leaf: the signs of random projections."""
-    bits = max(1, int(np.ceil(np.log2(max(2, n / LEAF)))))
+def _bits(n: int) -> int:
+    return max(1, int(np.ceil(np.log2(max(2, n / LEAF)))))
+
+
+def trees_for(n: int, threshold: float) -> int:
+    """Trees of ``n`` vectors; a random plane parts a pair with the probability of its angle."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** _bits(n)
+    return TREES if together >= 1 - MISS else max(TREES, math.ceil(math.log(MISS) / math.log1p(-max(together, 1e-9))))
+
+
+def leaves(nodes: DataFrame, n: int, seed: int, trees: int = TREES) -> DataFrame:
+    """``nodes`` (node, dims, vec, component) once per tree, with the leaf: the signs of random projections."""
+    bits = _bits(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,14 +145,39 @@ def leaves(nodes: DataFrame, n: int, seed: int) -> DataFrame:
             for dims in np.unique(rows["dims"].to_numpy()).tolist():
                 own = rows.filter(pc.equal(rows["dims"], dims))
                 units = _matrix(own["vec"], dims)
-                for tree in range(TREES):
+                for tree in range(trees):
                     planes = np.random.default_rng([seed, tree, dims]).standard_normal((dims, bits))
                     leaf = (units @ planes > 0) @ (1 << np.arange(bits))
                     out = own.append_column("tree", pa.array(np.full(len(own), tree))).append_column("leaf", pa.array(leaf.astype(np.int64)))
                     yield from out.to_batches()
 
     kind = dict(nodes.dtypes)["vec"]
-    return nodes.mapInArrow(run, f"node long, dims long, vec {kind}, tree long, leaf long")
+    return nodes.select("node", "dims", "vec", "component").mapInArrow(run, f"node long, dims long, vec {kind}, component long, tree long, leaf long")
+
+
+def crossed(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Groups of more than LEAF rows in pairs of blocks, so that all members of different components meet.
+
+    A component of more than LEAF rows of a group has blocks of its own, which needn't meet each other.
+    The others share blocks.
+    """
+    key = ["dims", *key]
+    own = rows.groupBy(*key, "component").agg(F.count("*").alias("own"))
+    own = own.withColumn("big", F.col("own") > LEAF)
+    groups = own.groupBy(*key).agg(F.sum("own").alias("all"), F.sum(F.when(~F.col("big"), F.col("own")).otherwise(0)).alias("few"))
+    groups = staged(groups.filter(F.col("all") > LEAF), "large")
+    own = own.join(small(groups), key)
+    parts = F.ceil(F.when(F.col("big"), F.col("own")).otherwise(F.col("few")) / LEAF).alias("parts")
+    own = staged(own.select(*key, "component", "big", F.when(F.col("big"), F.col("component")).otherwise(F.lit(0)).alias("home"), parts), "own")
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    blocks = staged(own.select(*key, "big", "home", part).distinct(), "blocks")
+    side = lambda c: blocks.select(*key, F.struct("big", "home", "part").alias(c))
+    pairs = side("x").join(side("y"), key).filter("x < y or (x = y and not x.big)").filter("not (x.big and y.big and x.home = y.home)")
+    pairs = pairs.withColumn("pair", F.xxhash64(*key, "x", "y"))
+    ends = pairs.select(*key, "x.*", "pair").unionByName(pairs.select(*key, "y.*", "pair")).distinct()
+    spread = F.when(F.col("big"), F.xxhash64("node")).otherwise(F.xxhash64("component"))
+    rows = rows.join(small(own), [*key, "component"]).withColumn("part", F.pmod(spread, "parts"))
+    return rows.join(small(staged(ends, "ends")), [*key, "big", "home", "part"]).select("node", "dims", "vec", "component", "pair")
 
 
 def nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -159,12 +199,21 @@ def _links(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.filter(F.col("cos") >= threshold).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def missed(nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[float, DataFrame]:
-    """Recall of a sample's links, and those missed. A link is had if both ends are in one component of ``found``.
+def _homed(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes`` with the component of each; one without links is its own."""
+    return nodes.join(small(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
 
-    The sample are the nodes with the smallest hashes; it is compared with all vectors, which stay where they are.
+def missed(nodes: DataFrame, found: DataFrame, threshold: float, salt: int = 0) -> tuple[float, DataFrame]:
+    """Share of a sample's vectors with links that have all of them, and links missed. A link is had if both ends are in one component of ``found``.
+
+    Half of the sample are the nodes with the smallest hashes, half is one node of each of so many components, where a large
+    one counts no more than others. It is compared with all vectors, which stay where they are.
     """
-    sample = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(AUDIT).select("node", "dims", "vec").toPandas()
+    by = F.xxhash64("node", F.lit("audit"), F.lit(salt))
+    heads = _homed(nodes.select("node"), found).groupBy("component").agg(F.min_by("node", by).alias("node"))
+    some = nodes.select("node").orderBy(by).limit(AUDIT).unionByName(heads.select("node").orderBy(by).limit(AUDIT)).distinct()
+    sample = nodes.join(F.broadcast(some), "node").select("node", "dims", "vec").toPandas()
     asked = nodes.sparkSession.sparkContext.broadcast([(d, own["node"].to_numpy(), unit(np.array(own["vec"].tolist()))) for d, own in sample.groupby("dims")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +231,8 @@ def missed(nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[float,
     left = known.select(F.col("node").alias("a"), F.col("component").alias("_a"))
     right = known.select(F.col("node").alias("b"), F.col("component").alias("_b"))
     rows = true.join(left, "a", "left").join(right, "b", "left").withColumn("had", F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)))
-    total, had = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("had").cast("int")), F.lit(0))).first()
+    each = rows.groupBy("a").agg(F.min("had").alias("had"))
+    total, had = each.agg(F.count("*"), F.coalesce(F.sum(F.col("had").cast("int")), F.lit(0))).first()
     return (had / total if total else 1.0), rows.filter("not had").select("a", "b")
 
 
@@ -228,10 +278,16 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     n = nodes.count()
     plain = nodes.select("node", "dims", "vec")
 
-    pairs = links = found = None
+    pairs = links = None
+    found = rows.sparkSession.createDataFrame([], "node long, component long")
     for audit in range(AUDITS):
-        begin = _chunked(leaves(plain, n, audit), ["tree", "leaf"], audit)
+        trees = TREES if audit else trees_for(n, threshold)
+        begin = _chunked(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"], audit)
         met = staged(by_group(begin, _met(NEIGHBOURS, threshold), PAIRS, ["tree", "leaf", "chunk"]), "met")
+        own = _links(met, threshold)
+        found = staged(components(own if links is None else links.unionByName(own)), "found")
+        wide = crossed(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"])
+        met = met.unionByName(staged(by_group(wide, _met(NEIGHBOURS, threshold), PAIRS, ["pair"]), "wide"))
         for turn in range(ROUNDS):
             own = _links(met, threshold)
             before = 0 if links is None else links.count()
@@ -241,11 +297,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 break
             met = staged(local_join(plain, pairs, NEIGHBOURS, threshold, audit * ROUNDS + turn), "met")
         found = staged(components(links), "found")
-        recall, more = missed(plain, found, threshold)
-        if recall >= RECALL:
-            break
+        recall, more = missed(plain, found, threshold, audit)
         links = staged(links.unionByName(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "links")
         found = staged(components(links), "found")
+        if recall >= RECALL:
+            break
 
     members = nodes.join(small(found), "node")
     counts = staged(link_counts(members, threshold), "counts")
