@@ -4,14 +4,16 @@ Every vector keeps a list of its ``NEIGHBOURS`` nearest so far. Lists begin with
 random projection trees: so many that they part a pair at the threshold in all trees with a probability
 of ``MISS`` at most, whatever else the table holds. They are refined by local joins: the vectors that list a
 vector, or are listed by it, meet and compare, since a neighbour's neighbour is likely a
-neighbour. Rounds go on until they find hardly any new link.
+neighbour. Rounds go on until one connects nothing new.
 
 A vector whose whole list is above the threshold is saturated: it may have more
-links than its list holds. Its list is then enlarged to its component: all members of
+links than its list holds. Its list then takes as many again from outside its component, where a
+link would connect two components. All members of
 a component are compared with each other, in pairs of blocks, and counted exactly. So what
 the graph has to get right is which vectors are connected, and that is audited:
 for samples of vectors and of components, the links by brute force are held against the components,
-and vectors that miss one start further rounds, however many links others have.
+and vectors that miss one start further rounds, however many links others have, until the share
+of vectors that miss none is reached.
 
 Equal vectors are one node. Leaves and lists of any size are split into bounded chunks, and the
 chunks of a leaf meet in pairs, except for vectors that are known to be connected.
@@ -39,11 +41,8 @@ MISS = 0.001
 #: Vectors that meet in one task, at most about twice as many.
 LEAF = 160
 BLOCK = 256
-#: A round that adds fewer links than this share of them is the last.
-SETTLED = 0.001
-ROUNDS = 4
 #: Vectors, and as many components, of which links are sought by brute force, and the share of those with links that has to have all.
-AUDIT, RECALL, AUDITS = 256, 0.99, 3
+AUDIT, RECALL = 256, 0.99
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -100,7 +99,7 @@ def _forest(near: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _met(k: int, threshold: float) -> Callable:
-    """Within a group: the k nearest of each vector, and links that span those above the threshold."""
+    """Within a group: the k nearest of each vector, k of other components if all those are links, and links that span those above the threshold."""
 
     def work(group: pa.Table, units: np.ndarray) -> pa.RecordBatch:
         nodes, cos = group["node"].to_numpy(), units @ units.T
@@ -108,8 +107,13 @@ def _met(k: int, threshold: float) -> Callable:
         n = min(k, len(nodes) - 1)
         best = np.argpartition(-cos, n - 1, axis=1)[:, :n]
         links = list(_forest(cos >= threshold))
-        a = np.concatenate([np.repeat(np.arange(len(nodes)), n), [i for i, _ in links], [j for _, j in links]]).astype(int)
-        b = np.concatenate([best.reshape(-1), [j for _, j in links], [i for i, _ in links]]).astype(int)
+        home = group["component"].to_numpy()
+        full = np.flatnonzero((np.take_along_axis(cos, best, axis=1) >= threshold).all(axis=1))
+        apart = np.where(home[full, None] == home[None, :], -2, cos[full])
+        more = np.argpartition(-apart, n - 1, axis=1)[:, :n]
+        out, at = np.nonzero(np.take_along_axis(apart, more, axis=1) > -2)
+        a = np.concatenate([np.repeat(np.arange(len(nodes)), n), full[out], [i for i, _ in links], [j for _, j in links]]).astype(int)
+        b = np.concatenate([best.reshape(-1), more[out, at], [j for _, j in links], [i for i, _ in links]]).astype(int)
         return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b]), pa.array(cos[a, b])], ["node", "other", "cos"])
 
     return work
@@ -180,18 +184,24 @@ def crossed(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(small(staged(ends, "ends")), [*key, "big", "home", "part"]).select("node", "dims", "vec", "component", "pair")
 
 
-def nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best others of each node."""
+def nearest(pairs: DataFrame, k: int, found: DataFrame, threshold: float) -> DataFrame:
+    """The k best others of each node, and the k best of other components than its own if the node is saturated."""
     rows = pairs.groupBy("node", "other").agg(F.max("cos").alias("cos"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("cos"), "other"))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
+    known = small(found)
+    rows = rows.join(known.select("node", F.col("component").alias("_a")), "node", "left").join(known.select(F.col("node").alias("other"), F.col("component").alias("_b")), "other", "left")
+    rows = rows.select("node", "other", "cos", F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)).alias("same"))
+    best = Window.orderBy(F.desc("cos"), "other")
+    rows = rows.withColumn("rank", F.row_number().over(best.partitionBy("node"))).withColumn("outer", F.row_number().over(best.partitionBy("node", "same")))
+    links = F.sum((F.col("cos") >= threshold).cast("int")).over(Window.partitionBy("node"))
+    rows = rows.withColumn("full", links >= k)
+    return rows.filter((F.col("rank") <= k) | (F.col("full") & ~F.col("same") & (F.col("outer") <= k))).select("node", "other", "cos")
 
 
 def local_join(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: int) -> DataFrame:
     """Pairs found where the neighbours of a vector, on either side, meet each other."""
     both = lists.select(F.col("node").alias("at"), F.col("other").alias("node")).unionByName(lists.select(F.col("other").alias("at"), "node"))
     both = both.unionByName(lists.select(F.col("node").alias("at"), "node")).distinct()
-    rows = _chunked(both.join(nodes, "node").select("node", "dims", "vec", "at"), ["at"], salt)
+    rows = _chunked(both.join(nodes, "node").select("node", "dims", "vec", "component", "at"), ["at"], salt)
     return by_group(rows, _met(k, threshold), PAIRS, ["at", "chunk"])
 
 
@@ -199,6 +209,19 @@ def _links(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.filter(F.col("cos") >= threshold).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def merged(found: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """Components ``found`` after more ``links`` (a, b), and how many of these joined different ones."""
+    known = small(found)
+    for c in ("a", "b"):
+        links = links.join(known.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left")
+        links = links.withColumn(c, F.coalesce(f"_{c}", c)).drop(f"_{c}")
+    new = staged(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    n = new.count()
+    if not n:
+        return found, 0
+    return staged(components(new.unionByName(found.select(F.col("component").alias("a"), F.col("node").alias("b")))), "found"), n
+
+
 def _homed(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """``nodes`` with the component of each; one without links is its own."""
     return nodes.join(small(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -278,30 +301,27 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     n = nodes.count()
     plain = nodes.select("node", "dims", "vec")
 
-    pairs = links = None
+    lists, audit, trees = None, 0, trees_for(n, threshold)
     found = rows.sparkSession.createDataFrame([], "node long, component long")
-    for audit in range(AUDITS):
-        trees = TREES if audit else trees_for(n, threshold)
+    while True:
         begin = _chunked(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"], audit)
         met = staged(by_group(begin, _met(NEIGHBOURS, threshold), PAIRS, ["tree", "leaf", "chunk"]), "met")
-        own = _links(met, threshold)
-        found = staged(components(own if links is None else links.unionByName(own)), "found")
+        found, _ = merged(found, _links(met, threshold))
         wide = crossed(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"])
-        met = met.unionByName(staged(by_group(wide, _met(NEIGHBOURS, threshold), PAIRS, ["pair"]), "wide"))
-        for turn in range(ROUNDS):
-            own = _links(met, threshold)
-            before = 0 if links is None else links.count()
-            links = staged(own if links is None else links.unionByName(own).distinct(), "links")
-            pairs = staged(nearest(met if pairs is None else pairs.unionByName(met), NEIGHBOURS), "lists")
-            if turn and links.count() - before <= SETTLED * before:
-                break
-            met = staged(local_join(plain, pairs, NEIGHBOURS, threshold, audit * ROUNDS + turn), "met")
-        found = staged(components(links), "found")
+        wide = staged(by_group(wide, _met(NEIGHBOURS, threshold), PAIRS, ["pair"]), "wide")
+        found, _ = merged(found, _links(wide, threshold))
+        met, new, turn = met.unionByName(wide), 1, 0
+        while new:
+            lists = staged(nearest(met if lists is None else lists.unionByName(met), NEIGHBOURS, found, threshold), "lists")
+            met = staged(local_join(_homed(plain, found), lists, NEIGHBOURS, threshold, turn), "met")
+            found, new = merged(found, _links(met, threshold))
+            turn += 1
         recall, more = missed(plain, found, threshold, audit)
-        links = staged(links.unionByName(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "links")
-        found = staged(components(links), "found")
+        # each audit that fails joins components, so that there is a last one
+        found, _ = merged(found, more)
         if recall >= RECALL:
             break
+        trees, audit = TREES, audit + 1
 
     members = nodes.join(small(found), "node")
     counts = staged(link_counts(members, threshold), "counts")
