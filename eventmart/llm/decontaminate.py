@@ -15,6 +15,7 @@ broadcasts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +86,8 @@ class Items:
         good = (seed < len(self.seeds)) & (self.seeds[np.minimum(seed, len(self.seeds) - 1)] == found[at])
         return at[good], seed[good]
 
-    def windows(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(item, begin, end, seeds) of the passages to align."""
+    def windows(self, hashes: np.ndarray, threshold: float = THRESHOLD) -> Iterator[tuple[int, int, int, int]]:
+        """(item, begin, end, seeds) of the passages to align: they hold every alignment through a seed that can reach the threshold."""
         at, seed = self.hits(hashes)
         n = self.begin[seed + 1] - self.begin[seed]
         if not n.sum():
@@ -94,14 +95,15 @@ class Items:
         place = np.repeat(at, n)
         posting = np.repeat(self.begin[seed] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         item = self.item[posting]
-        # where the item would begin in the text; places near each other make one window
+        # where the item would begin in the text; passages that overlap make one window
         zero = place - self.at[posting]
         order = np.lexsort((zero, item))
         item, zero = item[order], zero[order]
         size = np.array([len(self.words[i]) for i in item])
-        slack = np.maximum(4, size // 3)
+        # more inserted words cost more than the threshold leaves of a whole item
+        slack = np.maximum(4, np.floor(MATCH * size * (1 - threshold) / -OTHER).astype(int))
         new = np.diff(item, prepend=-1) != 0
-        new |= np.diff(zero, prepend=0) > slack
+        new |= np.diff(zero, prepend=0) > size + 2 * slack
         heads = np.flatnonzero(new)
         for a, b in zip(heads, [*heads[1:], len(item)], strict=True):
             begin, end = max(0, zero[a] - slack[a]), min(len(hashes), zero[b - 1] + size[a] + slack[a])
@@ -144,8 +146,8 @@ def _aligned(items: Items, texts: list[np.ndarray], pairs: list[tuple], threshol
         own = items.words[pairs[begin][1]], pairs[begin][3] - pairs[begin][2]
         n = max(1, CELLS // max(1, own[1]))
         some = pairs[begin : begin + n]
-        # an item much longer than the first of these waits for its own batch
-        some = [p for p in some if len(items.words[p[1]]) <= 2 * len(own[0]) + 8]
+        # an item or a passage much longer than the first of these waits for its own batch
+        some = list(takewhile(lambda p: len(items.words[p[1]]) <= 2 * len(own[0]) + 8 and p[3] - p[2] <= 2 * own[1] + 8, some))
         begin += len(some)
         left = [items.words[p[1]] for p in some]
         right = [texts[p[0]][p[2] : p[3]] for p in some]
@@ -212,7 +214,7 @@ def _search(spark, texts: DataFrame, items: Items, threshold: float) -> DataFram
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes = [_hashed(t) for t in part.column("text").to_pylist()] if len(items.seeds) else []
-                pairs = [(k, *w) for k, h in enumerate(hashes) for w in items.windows(h)]
+                pairs = [(k, *w) for k, h in enumerate(hashes) for w in items.windows(h, threshold)]
                 rows = _aligned(items, hashes, pairs, threshold)
                 ids, prints = (part.column(c).to_pylist() for c in ("doc_id", "text_hash"))
                 columns = [[ids[r[0]] for r in rows], [prints[r[0]] for r in rows], [items.ids[r[1]] for r in rows], *([r[i] for r in rows] for i in range(2, 6))]

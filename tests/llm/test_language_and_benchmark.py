@@ -148,3 +148,27 @@ def test_letter_case_of_any_alphabet(spark, documents):
     rows = [(1, f"x {item.upper()} y"), (2, item.lower()), (3, "another text without it")]
     found = decontaminate.contamination(documents(rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert {r.doc_id for r in found} == {1, 2}
+
+
+@pytest.mark.parametrize("extra", [16, 20])
+def test_a_copy_with_inserted_text_is_aligned_as_one(spark, documents, extra):
+    item = [f"i{k}" for k in range(30)]
+    copy = [*item[:15], *[f"new{k}" for k in range(extra)], *item[15:]]
+    copy[4] = copy[-5] = "other"
+    text = [f"a{k}" for k in range(40)] + copy + [f"b{k}" for k in range(40)]
+    found = decontaminate.contamination(documents([(1, " ".join(text))]), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.item_id, r.score, r.start_word, r.end_word) for r in found] == [(7, plain_align(item, text) / 60, 40, 70 + extra)]
+
+
+def test_passages_of_any_length_are_aligned_in_bounded_batches(spark, documents, monkeypatch):
+    """A text that repeats an item makes one long passage, which doesn't widen the batch of the others."""
+    item = [f"i{k}" for k in range(20)]
+    cells, align = [], decontaminate.align
+    monkeypatch.setattr(decontaminate, "align", lambda a, b: cells.append(len(b) * max(map(len, b))) or align(a, b))
+    items = decontaminate.Items([(1, " ".join(item))])
+    items.keep_rare(np.ones(len(items.seeds), int))
+    texts = [decontaminate._hashed(" ".join(item * n)) for n in [1] * 50 + [3000]]
+    pairs = [(k, *w) for k, h in enumerate(texts) for w in items.windows(h)]
+    assert len(pairs) == 51
+    assert len(decontaminate._aligned(items, texts, pairs, 0.5)) == 51
+    assert max(cells) <= 3 * decontaminate.CELLS
