@@ -6,6 +6,10 @@ what kind of block), a tag's score is that of its name and never above ``TAG_MOS
 words speak for content and tags against it. The odds come from labelled pages. One
 scan finds the contiguous run with the largest sum. It is widened to whole blocks, and what
 is embedded in it but isn't the article (adverts, forms, comments ...) is cut out.
+
+A word in a class or id, or a form, can also be a wrapper's around the article ("layout has-sidebar").
+Such an element says nothing of what is below it if it holds most of the page's words or a main
+element, unless the page has a main element elsewhere; its words are then judged like any others.
 """
 
 from __future__ import annotations
@@ -86,6 +90,19 @@ def _kind(tag: str, attrs: str, in_main: bool) -> tuple[str, bool]:
     return kind, not kind and (tag in ("article", "main") or role in ("main", "article") or tag in ("div", "section", "td") and bool(names & MAIN_WORDS))
 
 
+def _role(attrs: str) -> str:
+    return next((v.strip("\"'").lower().strip() for n, v in ATTRIBUTE.findall(attrs or "") if n.lower() == "role"), "")
+
+
+def _role_kind(attrs: str) -> str:
+    return BY_ROLE.get(_role(attrs), "")
+
+
+def _is_main(tag: str, attrs: str) -> bool:
+    """Whether an element says by itself that it is the main one, not by a word of its class."""
+    return tag in ("article", "main") or _role(attrs) in ("main", "article")
+
+
 class Page:
     """The tokens of a page: runs of words and tags, with what they stand in.
 
@@ -94,6 +111,17 @@ class Page:
     """
 
     def __init__(self, source: str):
+        self._read(source, frozenset())
+        total = sum(r[4] for r in self.runs if r[3] != "markup")
+        if not self.has_main and (wrappers := {i for i, n in self.held.items() if 2 * n > total or i in self.around}):
+            self._read(source, wrappers)
+
+    def _read(self, source: str, wrappers: set[int] | frozenset[int]) -> None:
+        """Read the page; the elements at the places of ``wrappers`` have no kind. ``held`` has the words
+        below each element whose kind is a guess, ``around`` those with a main element below."""
+        self.held: Counter = Counter()
+        self.around: set[int] = set()
+        guesses: list[int | None] = []
         self.runs: list[tuple[int, str, tuple, str, int]] = []
         self.tokens: list[tuple[int | None, str]] = []
         self.labels: list[bool] = []
@@ -103,6 +131,7 @@ class Page:
         for m in TOKEN.finditer(source):
             if m.start() > at:
                 self._text(source[at : m.start()], block, stack, links, inside)
+                self._hold(guesses)
             at = m.end()
             tag = (m["tag"] or "").lower()
             if m["comment"] is not None:
@@ -119,21 +148,34 @@ class Page:
             if m["close"]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        del stack[i:]
+                        del stack[i:], guesses[i:]
                         break
             else:
                 if tag in BLOCKS:
                     over = ENDS.get(tag, {"p"})
                     while stack and (stack[-1][0] in over or (stack[-1][0] not in BLOCKS and any(s[0] in over for s in stack[-3:]))):
                         stack.pop()
+                        guesses.pop()
                 if tag not in VOID:
                     kind, main = _kind(tag, m["attrs"], bool(stack) and stack[-1][2])
+                    guess = bool(kind) and (tag == "form" or tag not in BY_TAG and not _role_kind(m["attrs"]))
+                    if m.start() in wrappers:
+                        kind, guess = "", False
+                    guesses.append(m.start() if guess else None)
+                    if main and _is_main(tag, m["attrs"]):
+                        self.around.update(g for g in guesses if g is not None)
                     above = stack[-1] if stack else ("", "", False)
                     stack.append((tag, above[1] or kind, above[2] or main))
                     self.has_main |= main and not above[1]
             links = sum(s[0] == "a" for s in stack)
         if at < len(source):
             self._text(source[at:], block, stack, links, inside)
+            self._hold(guesses)
+
+    def _hold(self, guesses: list[int | None]) -> None:
+        for g in guesses:
+            if g is not None:
+                self.held[g] += self.runs[-1][4]
 
     def _text(self, raw: str, block: int, stack: list, links: int, inside: bool) -> None:
         text = html.unescape(raw)

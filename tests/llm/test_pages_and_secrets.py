@@ -53,6 +53,23 @@ def test_broken_pages(source):
     assert isinstance(text, str) and "menu" not in text
 
 
+ARTICLE = "<h1>Title</h1><p>First paragraph with enough words to be read by all.<p>The second one has some more words in it."
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="layout has-sidebar">', '<div class="page no-sidebar">', "<form action=x>", '<section id="tabs">', '<div class="social-page"><div class="skip-top">'])
+@pytest.mark.parametrize("main", ["<article>", "<main>", '<div role="main">', '<div class="content">'])
+def test_a_wrapper_with_a_word_of_boilerplate(wrapper, main):
+    opened = re.findall(r"<(\w+)", wrapper)
+    inner = f'<div class="sidebar">Popular stories to read</div>{main}{ARTICLE}<div class="ad">Buy this now</div></{main[1:].split(" ")[0].strip(">")}>'
+    page = f"<html><body><nav><a href=/>Home</a></nav>{wrapper}{inner}{''.join(f'</{t}>' for t in reversed(opened))}<footer>Imprint</footer></body></html>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", "First paragraph with enough words to be read by all.", "The second one has some more words in it."]
+
+
+def test_long_comments_beside_a_main_element_are_still_cut():
+    page = f"<body><main>{ARTICLE}</main><div class=comments>{'<article><p>I have read every word of it, and more.</article>' * 30}</div></body>"
+    assert "every word" not in html_text.main_text(page) and html_text.main_text(page).startswith("Title")
+
+
 def test_best_run():
     assert html_text.best_run([-1, 2, -1, 3, -5, 4]) == (1, 4, 4.0)
     assert html_text.best_run([-1, -2]) == (0, 0, 0.0)
