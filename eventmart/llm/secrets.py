@@ -3,7 +3,7 @@
 Patterns find base spans in each text. Besides, any long run of letters and digits that
 looks random is a candidate. All values are hashed and counted over the corpus: in how
 many repositories (documents) and by how many owners (sources). A value that many owners
-have is an example that was copied; a live-looking one of few owners is a
+have, or that few owners have in very many of their documents, is an example that was copied; a live-looking other one is a
 credential, and is added as a span of kind ``owned`` where no base span covers it.
 """
 
@@ -24,6 +24,8 @@ KINDS = ("assign", "access", "hex", "owned")
 WIDE = r"[A-Za-z0-9+/_=-]{20,}"
 #: A value of more owners was copied.
 OWNERS = 2
+#: So was one in more repositories than these, and than this share of its owners' repositories.
+REPOSITORIES, SHARE = 100, 0.001
 
 
 def _spans(text: Column, pattern: str, kind: int, values: Column | None = None) -> Column:
@@ -59,7 +61,7 @@ def scan(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
 
     ``docs`` has doc_id, text and source (the owner; null is one owner); other columns are
     ignored. Null and empty texts have no span. ``n_copied`` and ``n_owned`` count the spans
-    whose value has more owners than ``owners``, or not.
+    whose value was copied, which has more owners than ``owners`` or very many repositories, or not.
     """
     text = F.coalesce("text", F.lit(""))
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
@@ -72,13 +74,15 @@ def scan(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
     rows = rows.withColumn("wide", F.filter("wide", apart)).withColumn("row", F.monotonically_increasing_id())
     rows = staged(rows, "secrets")
 
-    # owners and repositories of each value; a text counts once for a value
-    spans = rows.select("row", "source", F.explode(F.concat("base", "wide")).alias("s")).withColumn("hash", F.sha2("s.value", 256))
-    held = spans.groupBy("hash", "source", "row").agg(F.lit(1).alias("one"))
+    # owners and repositories of each value; a repository counts once for a value, however many rows it has
+    spans = rows.select("row", "doc_id", "source", F.explode(F.concat("base", "wide")).alias("s")).withColumn("hash", F.sha2("s.value", 256))
+    held = spans.groupBy("hash", "source", "doc_id").agg(F.lit(1).alias("one"))
     held = held.groupBy("hash", "source").agg(F.count("*").alias("repositories"))
-    held = held.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    sizes = rows.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("all"))
+    held = held.join(small(staged(sizes, "sizes")), F.col("source").eqNullSafe(F.col("_source")))
+    held = held.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("all").alias("all"))
     held = small(staged(held, "owners"))
-    judged = spans.join(held, "hash").withColumn("copied", F.col("owners") > owners)
+    judged = spans.join(held, "hash").withColumn("copied", (F.col("owners") > owners) | (F.col("repositories") > F.greatest(F.lit(REPOSITORIES), F.col("all") * SHARE)))
     added = F.filter(F.collect_list(F.when((F.col("s.kind") == 3) & ~F.col("copied"), F.struct("s.start", "s.kind", "s.end", "s.value"))), lambda s: s.isNotNull())
     judged = judged.groupBy("row").agg(F.sum(F.col("copied").cast("long")).alias("n_copied"), F.sum((~F.col("copied")).cast("long")).alias("n_owned"), added.alias("added"))
     out = rows.join(small(staged(judged, "judged")), "row", "left")

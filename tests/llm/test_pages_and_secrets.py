@@ -188,6 +188,14 @@ def test_ownership_tells_examples_from_credentials(documents):
     assert out[10].spans == out[11].spans == "owned:4:28" and out[10].n_owned == 1
 
 
+@pytest.mark.parametrize("source", ["s1", None])
+def test_a_value_in_very_many_documents_of_one_owner_was_copied(documents, source):
+    rows = [(i, f"see {TEXTS[8]}", None, source) for i in range(secrets.REPOSITORIES + 1)] + [(1000, TEXTS[7], None, source)] * (secrets.REPOSITORIES + 1)
+    out = {r.doc_id: r for r in secrets.scan(documents(rows)).collect()}
+    assert all(out[i].n_copied == 1 and out[i].spans == "" for i in range(secrets.REPOSITORIES + 1))
+    assert out[1000].n_owned == 1 and out[1000].n_copied == 0
+
+
 def test_spans_on_the_tables(spark):
     docs = {r.doc_id: r.text or "" for r in table(spark, SF_DIR, "documents").collect()}
     out = secrets.scan(table(spark, SF_DIR, "documents")).select("doc_id", "base_sha256", F.col("n_assign") + F.col("n_access") + F.col("n_hex")).collect()
