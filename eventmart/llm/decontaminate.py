@@ -67,13 +67,12 @@ class Items:
         """Drop postings of common seeds; ``texts`` counts the texts of each seed."""
         n = texts[self.seed]
         usual = np.ones(len(self.ids))
-        for i in np.unique(self.item):
-            usual[i] = max(1, np.median(n[self.item == i])) if len(self.ids) <= 1000 else 1
-        if len(self.ids) > 1000:
-            order = np.lexsort((n, self.item))
-            heads = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-            some = np.diff(heads) > 0
-            usual[some] = np.maximum(1, n[order][((heads[:-1] + heads[1:]) // 2)[some]])
+        order = np.lexsort((n, self.item))
+        heads = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
+        some = np.diff(heads) > 0
+        begin, end = heads[:-1][some], heads[1:][some]
+        ranked = n[order]
+        usual[some] = np.maximum(1, (ranked[(begin + end - 1) // 2] + ranked[(begin + end) // 2]) / 2)
         rare = n <= np.maximum(COMMON_LEAST, COMMON * usual[self.item])
         self.item, self.at, self.seed = self.item[rare], self.at[rare], self.seed[rare]
         self._index()

@@ -172,3 +172,12 @@ def test_passages_of_any_length_are_aligned_in_bounded_batches(spark, documents,
     assert len(pairs) == 51
     assert len(decontaminate._aligned(items, texts, pairs, 0.5)) == 51
     assert max(cells) <= 3 * decontaminate.CELLS
+
+
+@pytest.mark.parametrize("others", [0, 5, 1500])
+def test_common_seeds_are_the_same_beside_any_number_of_items(others):
+    items = decontaminate.Items([(k, " ".join(f"q{k}w{j}" for j in range(6))) for k in range(1 + others)])
+    texts = np.ones(len(items.seeds), int)
+    texts[items.seed[np.flatnonzero(items.item == 0)]] = [1, 1, 10, 150]
+    items.keep_rare(texts)
+    assert (items.item == 0).sum() == 3
