@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from eventmart.llm import jaccard, urls, vectors
+from eventmart.llm import centroids, jaccard, lexical, licenses, urls, vectors
+from eventmart.llm.license_texts import PHRASES, TEMPLATES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,8 +90,76 @@ def _crc(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda crc, b: {byte}), 4294967295::BIGINT)"
 
 
+LEXICAL = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{lexical.TERM}') AS t FROM documents WHERE text IS NOT NULL),
+stats AS MATERIALIZED (SELECT count(*) FILTER (WHERE len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+terms AS MATERIALIZED (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{lexical.TERM}')) AS term FROM benchmark),
+tfs AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM terms) GROUP BY 1, 2),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, stats GROUP BY 1),
+sizes AS (SELECT r, doc_id, 100 - 90 + (90 * len(t) * n_docs) // n_terms AS m FROM d, stats WHERE len(t) > 0),
+scores AS (SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+ FROM terms JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (r) GROUP BY 1, 2, 3),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {lexical.BEST}"""
+
+
+def _words(text: str) -> list[str]:
+    return [w.decode() for w in licenses.words(text)]
+
+
+def _licenses() -> str:
+    phrases = ", ".join(f"('{label}', {_words(text)})" for label, text in PHRASES)
+    rows = []
+    for k, (label, text) in enumerate(TEMPLATES):
+        own = _words(text)
+        size = len(set(own))
+        rows.append(f"({k}, '{label}', {licenses.width_of(len(own))}, {size}, {sorted(set(own))})")
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+ regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+phrases(label, p) AS (VALUES {phrases}),
+templates(k, label, width, size, own) AS (VALUES {", ".join(rows)}),
+vocabulary AS MATERIALIZED (SELECT k, label, width, size, unnest(own) AS word FROM templates),
+places AS MATERIALIZED (SELECT r, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+base AS MATERIALIZED (SELECT r, label, pos FROM places JOIN d USING (r) JOIN phrases ON word = p[1] WHERE w[pos + 1:pos + len(p)] = p),
+blocks AS MATERIALIZED (SELECT r, k, label, CAST(count(DISTINCT word) AS DOUBLE) / size AS score FROM (
+  SELECT r, n, k, label, width, size, word, unnest([pos // width, pos // width - 1]) AS block FROM places JOIN vocabulary USING (word))
+ WHERE block >= 0 AND block < greatest(1, (n + width - 1) // width - 1)
+ GROUP BY r, k, label, size, block HAVING 100 * count(DISTINCT word) >= {licenses.PERCENT} * size),
+bases AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels FROM base GROUP BY 1),
+every AS (SELECT r, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(score) AS score
+ FROM (SELECT r, label, 1.0::DOUBLE AS score FROM base UNION ALL SELECT r, label, score FROM blocks) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+ coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM d LEFT JOIN bases USING (r) LEFT JOIN every USING (r)"""
+
+
+def _clusters() -> str:
+    k = centroids.DIMENSION
+    whole = f"list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT))"
+    apart = f"CAST(list_sum(list_transform(range(1, {k + 1}), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))) AS BIGINT)"
+    out = f"""WITH vectors AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {whole} AS v FROM embeddings
+ WHERE len(embedding) = {k} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY name, v) - 1 AS c, v FROM (
+ SELECT sha256('{centroids.SEED}:' || vec_id) AS name, v FROM vectors ORDER BY 1 NULLS LAST, 2 LIMIT {centroids.CLUSTERS}))"""
+    for i in range(centroids.ROUNDS + 1):
+        out += f""",
+a{i} AS MATERIALIZED (SELECT r, c, distance FROM (SELECT a.r, b.c, {apart} AS distance FROM vectors a, c{i} b)
+ QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1)"""
+        if i < centroids.ROUNDS:
+            out += f""",
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+ SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM (
+  SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range({k})) AS j FROM a{i} JOIN vectors USING (r)) GROUP BY 1, 2) GROUP BY 1) m USING (c))"""
+    last = centroids.ROUNDS
+    return out + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+ CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{last}.v, ',')) AS centroid_sha256
+FROM a{last} JOIN vectors USING (r) JOIN c{last} USING (c)"""
+
+
 ORACLES = {
     "op6_jaccard_join": JACCARD,
     "op7_url_filter": _urls(),
     "op9_embeddings": EMBEDDINGS,
+    "op11_lexical_search": LEXICAL,
+    "op12_license_scan": _licenses(),
+    "op13_centroids": _clusters(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontaminate, html_text, jaccard, langid, mixing, secrets, separators, token_files, urls, vectors
+from eventmart.llm import centroids, decontaminate, html_text, jaccard, langid, lexical, licenses, mixing, secrets, separators, token_files, urls, vectors
 from eventmart.llm.common import table
 from eventmart.llm.oracles import ORACLES  # noqa: F401  read by __spark_entry__
 
@@ -57,6 +57,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of the embeddings, after ten rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_html_text": op2_html_text,
@@ -68,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_license_scan": op12_license_scan,
+    "op13_centroids": op13_centroids,
 }
