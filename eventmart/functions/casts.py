@@ -149,10 +149,11 @@ def stream_out_of_range(c: Column, typed: Column, whole: bool = False) -> Column
 
     'nan' is no number to a ``whole`` column, which is NULL then, and 'inf' is one it can't hold.
     """
+    as_double = c.try_cast("double")
     number = (
         stream_number(c).isNotNull()
         | c.rlike(INFINITE if whole else NOT_FINITE)
-        | (F.abs(c.try_cast("double")) >= F.lit(WIDE_LIMIT))
+        | (~F.isnan(as_double) & (F.abs(as_double) >= F.lit(WIDE_LIMIT)))  # nan is the largest double
     )
     return typed.isNull() & F.coalesce(number, F.lit(False))
 
