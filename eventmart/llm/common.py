@@ -71,13 +71,13 @@ def give_back() -> None:
         return
 
 
-def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+def lean(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
     """A task of ``mapInArrow`` that gives its memory back when it ends."""
 
     @wraps(task)
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], *args) -> Iterator[pa.RecordBatch]:
         try:
-            yield from task(batches)
+            yield from task(batches, *args)
         finally:
             give_back()
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import slices
+from eventmart.llm.common import lean, slices
 from eventmart.llm.shingles import grams, words
 
 SEED_WORDS = 3
@@ -191,6 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
 def _search(spark, texts: DataFrame, items: Items, threshold: float) -> DataFrame:
     all_seeds = spark.sparkContext.broadcast(items)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = all_seeds.value
         n = np.zeros(len(items.seeds), np.int64)
@@ -208,6 +209,7 @@ def _search(spark, texts: DataFrame, items: Items, threshold: float) -> DataFram
     items.keep_rare(n)
     rare = spark.sparkContext.broadcast(items)
 
+    @lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = rare.value
         for batch in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import slices, small, staged
+from eventmart.llm.common import lean, slices, small, staged
 from eventmart.llm.components import components
 from eventmart.llm.shingles import shingle_set
 
@@ -60,6 +60,7 @@ def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[tuple[dict, list[np.n
 def shingle_ranks(docs: DataFrame, words: int) -> np.ndarray:
     """One byte per counter: how common the shingles hashed there are, on a scale of eighths of log2."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
         for batch in batches:
@@ -76,6 +77,7 @@ def shingle_ranks(docs: DataFrame, words: int) -> np.ndarray:
                 kind = "<u2" if part.max() < 1 << 16 else "<u4"
                 yield pa.RecordBatch.from_pylist([{"chunk": k, "kind": kind, "counts": part.astype(kind).tobytes()}])
 
+    @lean
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -195,6 +197,7 @@ class Group:
         return out
 
 
+@lean
 def _join_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group; a group is held whole, and is two blocks at most."""
 
@@ -217,6 +220,7 @@ def _join_groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 def _linked(docs: DataFrame, tasks: DataFrame, ranks, words: int, percent: int) -> DataFrame:
     """Links within groups; ``tasks`` are (doc_id, known, g, x, y, role): the groups (g, x, y) a text goes to."""
 
+    @lean
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets in sets_of(batch, words):
@@ -247,6 +251,7 @@ def _lists(keys: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
 
 
+@lean
 def _prefixes(batches: Iterator[pa.RecordBatch], ranks, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, sets in sets_of(batch, words):
@@ -281,6 +286,7 @@ def _paired(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield _edges(rows[2, i], rows[2, i + d], np.minimum(rows[3, i], rows[3, i + d]))
 
 
+@lean
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, need) of texts with the same key, from rows (g, key, doc_id, need) in order of (g, key).
 
@@ -342,6 +348,7 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranks = spark.sparkContext.broadcast(shingle_ranks(docs, words))
 
+    @lean
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets in sets_of(batch, words):

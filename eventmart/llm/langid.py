@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import slices
+from eventmart.llm.common import lean, slices
 
 CLASSES = 64
 GRAMS = CLASSES**3
@@ -75,6 +75,7 @@ def _joined(batch: pa.RecordBatch) -> tuple[str, np.ndarray]:
 def trigram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows of (text, lang)."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -166,6 +167,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
     rest = [f for f in docs.schema if f.name != "text"]
     names = [f.name for f in rest]
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table = model.value
         for batch in batches:

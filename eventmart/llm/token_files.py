@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import slices, width
+from eventmart.llm.common import lean, slices, width
 from eventmart.llm.tokens import encoder
 from eventmart.session import fresh_path
 
@@ -196,6 +196,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, vo
     """
     out = uri_of(out)
 
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = encoded(batches, tokenizer)
         first = next(rows, None)
@@ -235,12 +236,15 @@ def read_token_files(spark: SparkSession, manifest: list[dict]) -> DataFrame:
         rows.append((f["file"], start))
         start += f["n_ids"]
 
+    @lean
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri, base in zip(*(batch.column(c).to_pylist() for c in ("file", "base")), strict=True):
                 yield from _documents(Reader(uri), base)
 
-    files = spark.createDataFrame(rows, "file string, base long").repartition(max(1, len(rows)))
+    # from an Arrow table: a list would go through Python workers of another pool, which stay
+    names = pa.table([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["file", "base"])
+    files = spark.createDataFrame(names).repartition(max(1, len(rows)))
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
