@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import lean, slices, width
-from eventmart.llm.tokens import encoder
+from eventmart.llm.tokens import ENCODE_BYTES, encoder
 from eventmart.session import fresh_path
 
 MAGIC = b"EMTOKENS"
@@ -162,7 +162,7 @@ def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, special_as_text:
     own = encoder(tokenizer, special_as_text)
     try:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODE_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 yield part.column("doc_id").to_pylist(), own.encode(texts)
     finally:

@@ -10,7 +10,9 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 #: Pieces kept within a task; a full cache is emptied, which changes speed only.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
+#: Bytes of texts encoded at a time.
+ENCODE_BYTES = 500_000
 #: How a byte-level vocabulary writes a space.
 SPACE = "\u0120"
 
