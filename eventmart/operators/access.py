@@ -24,7 +24,7 @@ def time_range(fact: DataFrame, start: str, end: str) -> DataFrame:
     matching predicate on the partition column is added when the table has one.
     """
     ts = F.col("event_timestamp")
-    begin, stop = _instant(start), _instant(end)
+    begin, stop = instant(start), instant(end)
     out = fact.where((ts >= F.lit(begin)) & (ts < F.lit(stop)))
     if "event_month" in fact.columns:
         first = begin.date().replace(day=1)
@@ -33,7 +33,8 @@ def time_range(fact: DataFrame, start: str, end: str) -> DataFrame:
     return out
 
 
-def _instant(text: str) -> datetime:
+def instant(text: str) -> datetime:
+    """The instant of a text; without an offset it is UTC."""
     at = datetime.fromisoformat(text)
     return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -88,3 +90,24 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schemas.nullable(schema))
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file in one step: readers see all of it or nothing. Fails when it is there."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    attempt = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    write_text(spark, attempt, text)
+    if not fs.rename(_fs(spark, attempt)[1], p):
+        raise FileExistsError(path)
+
+
+def content(spark: SparkSession, path: str) -> str:
+    """Content of a small file, read without a job."""
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

@@ -112,6 +112,10 @@ STREAM_SCHEMA = T.StructType(
         T.StructField("received_at", T.TimestampType(), False),
     ]
 )
+# How the stream table is stored: with the run and the batch that brought a row, by month.
+RUN_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+MONTH_FIELD = T.StructField("event_month", T.DateType())
+STORED_STREAM_SCHEMA = T.StructType([*STREAM_SCHEMA.fields, *RUN_FIELDS, MONTH_FIELD])
 STREAM_COLUMNS = [f.name for f in STREAM_SCHEMA.fields if f.name != "received_at"]
 
 LOOKUP_DIM_SCHEMA = T.StructType(

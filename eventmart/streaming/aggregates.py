@@ -44,8 +44,7 @@ class RevenueSink(Ingest):
     def write(self, batch: DataFrame, batch_id: int) -> bool:
         wrote = super().write(batch, batch_id)
         if wrote:
-            rows = self.spark.read.schema(schemas.nullable(schemas.STREAM_SCHEMA)).parquet(self.folder("streaming_events", batch_id))
-            window_sums(rows, self.window).coalesce(1).write.mode("overwrite").parquet(self.folder("revenue_parts", batch_id))
+            window_sums(self.events_of(batch_id), self.window).coalesce(1).write.mode("overwrite").parquet(self.folder("revenue_parts", batch_id))
         return wrote
 
 
@@ -83,9 +82,7 @@ class DualSink(Ingest):
     def write(self, batch: DataFrame, batch_id: int) -> bool:
         if not super().write(batch, batch_id):
             return False
-        events = self.folder("streaming_events", batch_id)
-        rows = self.spark.read.schema(schemas.nullable(schemas.STREAM_SCHEMA)).parquet(events)
-        keyed = rows.select(
+        keyed = self.events_of(batch_id).select(
             "*",
             month_of(F.col("event_timestamp")).alias("event_month"),
             F.lit(self.run_id).alias("run_id"),

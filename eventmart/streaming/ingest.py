@@ -2,22 +2,22 @@
 
 Layout below ``target``::
 
-    streaming_events/run_id=.../batch_id=.../     accepted rows, first per event_id
-    rejected_messages/run_id=.../batch_id=.../    the rest, with message and reason
-    stream_metrics/run_id=.../batch_id=.../       one row of counters per batch
+    streaming_events/run_id=.../batch_id=.../event_month=.../   accepted rows, first per event_id
+    stream_keys/, stream_key_sets/                              their ids, see ``streaming.keys``
+    stream_sets/<name>/                                         compacted rows, see ``streaming.compaction``
+    rejected_messages/run_id=.../batch_id=.../                  the rest, with message and reason
+    stream_metrics/run_id=.../batch_id=.../                     one row of counters per batch
 
 A run is one checkpoint: its id is kept beside the checkpoint, so restarting it
 continues the run, and a new checkpoint is a new run. A batch is written into its
 own folder, and a batch repeated after a failure replaces its folder, so a half
 written batch leaves nothing behind.
 
-Uniqueness has two modes:
-
-* ``dedup='table'``: every batch is compared with the ids in the table. Exact for
-  any checkpoint, but each batch reads the id column of the whole table.
-* ``dedup='state'``: ids of this run live in the streaming state (RocksDB, never
-  expired), so a batch costs what its own rows cost. Only ids written by *other*
-  runs are looked up in the table; a table with one run has none.
+An id is stored once, whatever run brings it. Within a batch the first row in arrival
+order wins: copies are dropped in front of the shuffle, so an id that holds a third of the
+rows leaves each task as one row. Against everything stored before, a batch is compared by
+way of the key table, whose cost doesn't grow with the number of batches. Counters are taken
+of all messages, before anything is dropped.
 """
 
 from __future__ import annotations
@@ -31,27 +31,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart import schemas
-from eventmart.operators import dedup, storage
+from eventmart.operators import dedup, storage, versions
+from eventmart.operators.access import month_of
 from eventmart.session import configure, settings
+from eventmart.streaming import compaction
+from eventmart.streaming.keys import KeyTable
 from eventmart.streaming.parse import parse_messages
 
-RUN_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-STORED_SCHEMA = T.StructType(schemas.STREAM_SCHEMA.fields + RUN_FIELDS)
 METRICS_SCHEMA = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("received", "inserted", "skipped", "anomalies")]
     + [T.StructField("logged_at", T.TimestampType())]
-    + RUN_FIELDS
+    + schemas.RUN_FIELDS
 )
 # The parse is one large expression: as one generated method the JVM would not compile
 # it, so let Spark split it.
 PARSE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
-# State on local disk, and per batch only its changes in the checkpoint.
-STATE_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
 # A micro-batch is written in files of up to this many rows, not one per shuffle partition.
 ROWS_PER_FILE = 250_000
 log = logging.getLogger(__name__)
@@ -65,8 +59,8 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def stream_events(spark: SparkSession, target: str) -> DataFrame:
-    """The stream table with its run and batch columns (empty before the first batch)."""
-    return storage.read_or_empty(spark, f"{target}/streaming_events", STORED_SCHEMA)
+    """The stream table with its run, batch and month columns (empty before the first batch)."""
+    return compaction.Compaction(spark, target).events()
 
 
 def stream_metrics(spark: SparkSession, target: str) -> DataFrame:
@@ -87,28 +81,17 @@ def metrics_totals(metrics: DataFrame) -> DataFrame:
 class Ingest:
     """Writes the micro-batches of one run into ``target`` (a foreachBatch sink)."""
 
-    def __init__(self, spark: SparkSession, target: str, run_id: str, dedup_mode: str = "table"):
-        self.spark, self.target, self.run_id, self.dedup_mode = spark, target.rstrip("/"), run_id, dedup_mode
+    #: Batches that make a set of the key table, and buckets of a new key table.
+    fan, buckets = versions.FAN, 64
+
+    def __init__(self, spark: SparkSession, target: str, run_id: str):
+        self.spark, self.target, self.run_id = spark, target.rstrip("/"), run_id
+        self.keys = KeyTable(spark, self.target, self.buckets, self.fan)
+        self.keys.heal()
 
     def folder(self, table: str, batch_id: int) -> str:
         return f"{self.target}/{table}/run_id={self.run_id}/batch_id={batch_id}"
 
-    def stored_keys(self, batch_id: int) -> DataFrame | None:
-        """Ids a batch has to be compared with, None when there are none.
-
-        Never those of the batch itself: it may be a repeat. With ids of this run in
-        the streaming state, only folders of other runs are even listed.
-        """
-        table = f"{self.target}/streaming_events"
-        runs = [n for n in storage.children(self.spark, table) if n.startswith("run_id=")]
-        if self.dedup_mode == "state":
-            runs = [n for n in runs if n != f"run_id={self.run_id}"]
-        if not runs:
-            return None
-        reader = self.spark.read.schema(schemas.nullable(STORED_SCHEMA)).option("basePath", table)
-        stored = reader.parquet(*[f"{table}/{n}" for n in runs])
-        return stored.where((F.col("run_id") != self.run_id) | (F.col("batch_id") != batch_id))
-
     @staticmethod
     def save(rows: DataFrame, path: str, at_most: int) -> None:
         """Write a folder of the batch, ``at_most`` rows, replacing what a failed try left."""
@@ -119,6 +102,17 @@ class Ingest:
         """As many partitions as files. Only the new rows are shuffled; the join with the history before it keeps its width."""
         return rows.repartition(at_most // ROWS_PER_FILE + 1)
 
+    def save_events(self, rows: DataFrame, path: str, at_most: int) -> None:
+        """Write the events of a batch by month, each file a stretch of time, so that reads by time skip files."""
+        rows = rows.withColumn(schemas.MONTH_FIELD.name, month_of(F.col("event_timestamp")))
+        files = at_most // ROWS_PER_FILE + 1
+        rows = rows.repartition(1) if files == 1 else rows.repartitionByRange(files, "event_timestamp", "event_id")
+        rows.sortWithinPartitions("event_timestamp").write.mode("overwrite").partitionBy(schemas.MONTH_FIELD.name).parquet(path)
+
+    def events_of(self, batch_id: int) -> DataFrame:
+        """What a batch has stored."""
+        return self.spark.read.schema(schemas.nullable(schemas.STREAM_SCHEMA)).parquet(self.folder("streaming_events", batch_id)).select(*schemas.STREAM_SCHEMA.names)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Rows of one split are numbered here, before any shuffle, where the source did not.
         row = F.coalesce("source_row", F.monotonically_increasing_id())
@@ -138,19 +132,18 @@ class Ingest:
         ).first()  # one aggregate row
         if counts.received == 0:
             return False
-        rows = fresh = batch.where(good)
-        if self.dedup_mode == "table":  # the streaming state has done it otherwise
-            fresh = dedup.dedup_first_wins(fresh)
-        stored = self.stored_keys(batch_id)
+        rows = batch.where(good)
+        fresh = dedup.dedup_first_wins(rows)
+        stored = self.keys.candidates(rows, counts.received, self.run_id, batch_id)
         if stored is not None:
             fresh = dedup.absent_rows(fresh, stored, keys=rows, key_count=counts.received)
         fresh = fresh.select(*schemas.STREAM_COLUMNS, F.current_timestamp().alias("received_at"))
-        events = self.folder("streaming_events", batch_id)
-        self.save(fresh, events, counts.received)
+        self.save_events(fresh, self.folder("streaming_events", batch_id), counts.received)
+        inserted = self.events_of(batch_id).count()  # footers only
+        self.keys.add(self.events_of(batch_id), inserted, self.run_id, batch_id)
         if counts.skipped:
             rejects = batch.where(~good).select("message", "reject_reason", *schemas.ORDER_COLUMNS)
             self.save(rejects, self.folder("rejected_messages", batch_id), counts.skipped)
-        inserted = self.spark.read.parquet(events).count()  # footers only
         values = {
             "received": counts.received,
             "inserted": inserted,
@@ -162,19 +155,10 @@ class Ingest:
             *[F.lit(v).cast("long").alias(n) for n, v in values.items()], F.current_timestamp().alias("logged_at")
         )
         row.write.mode("overwrite").parquet(self.folder("stream_metrics", batch_id))
+        self.keys.roll_up()
         return True
 
 
-def first_in_state(parsed: DataFrame) -> DataFrame:
-    """Drop repeats of accepted ids by streaming state; rejects all pass.
-
-    Copies of an event that share a topic partition (messages are keyed by event_id)
-    keep their order, so the first one wins; order between partitions is undefined.
-    """
-    key = F.when(F.col("reject_reason").isNull(), F.col("event_id")).otherwise(F.uuid())
-    return parsed.withColumn("__state_key", key).dropDuplicates(["__state_key"]).drop("__state_key")
-
-
 def start_ingest(
     messages: DataFrame,
     target: str,
@@ -188,18 +172,17 @@ def start_ingest(
     ``interval`` ('10 seconds') sets a steady trigger; without it the query drains
     what is there and stops. The size of a micro-batch is bounded at the source
     (``max_files`` / ``max_offsets``). Offsets are committed after the batch is
-    written; a batch repeated for that reason replaces itself.
+    written; a batch repeated for that reason replaces itself. ``dedup_mode`` is kept for callers: 'table'
+    and 'state' both compare with the key table.
     """
     if dedup_mode not in ("table", "state"):
         raise ValueError("dedup_mode is 'table' or 'state'")
     spark = configure(messages.sparkSession)
     parsed = parse_messages(messages)
-    if dedup_mode == "state":
-        parsed = first_in_state(parsed)
-    writes = sink(spark, target, run_id_of(spark, checkpoint), dedup_mode)
+    writes = sink(spark, target, run_id_of(spark, checkpoint))
     writer = parsed.writeStream.foreachBatch(writes).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    with settings(spark, PARSE_SETTINGS | (STATE_SETTINGS if dedup_mode == "state" else {})):
+    with settings(spark, PARSE_SETTINGS):
         return writer.trigger(**trigger).start()
 
 
