@@ -395,6 +395,19 @@ ORACLES = {
     "stream_ingest": STREAM + f"SELECT {STREAM_OUT} FROM stream",
     "stream_dedup_state": STREAM + f"SELECT {STREAM_OUT} FROM stream",
     "stream_replay": STREAM + f"SELECT {STREAM_OUT} FROM stream",
+    "stream_compacted": STREAM + f"SELECT {STREAM_OUT} FROM stream",
+    "stream_keys": STREAM + "SELECT event_id, CAST(1 AS BIGINT) AS row_count FROM stream",
+    "stream_time_range": STREAM
+    + f"SELECT {STREAM_OUT} FROM stream WHERE event_timestamp >= TIMESTAMP '2024-02-01' AND event_timestamp < TIMESTAMP '2024-02-08'",
+    "stream_counters": STREAM
+    + f"""SELECT mode, (SELECT count(*) FROM dirty) AS received, (SELECT count(*) FROM stream) AS inserted,
+ (SELECT count(*) FROM dirty WHERE ({STREAM_REASON}) IS NOT NULL) AS skipped,
+ (SELECT count(*) FROM stream_rows WHERE is_anomaly) AS anomalies FROM (VALUES ('table'), ('state')) AS m(mode)""",
+    "stream_first_in_order": "WITH "
+    + raw_cte("raw")
+    + f"""SELECT DISTINCT mode, lower(event_id) AS event_id,
+ CAST(CAST(value AS DECIMAL(10,2)) + CASE WHEN k % 4 < 2 THEN 0 ELSE 4 - k % 4 END AS DOUBLE) AS value
+ FROM raw, (VALUES ('table'), ('state')) AS m(mode) WHERE regexp_full_match(event_id, '{UUID_ANY}')""",
     "stream_rejects": STREAM
     + f"""SELECT {STREAM_REASON} AS reject_reason, count(*) AS row_count FROM dirty
  WHERE ({STREAM_REASON}) IS NOT NULL GROUP BY 1""",

@@ -18,7 +18,7 @@ from eventmart.plans import analytics, quality, unify
 from eventmart.plans.mart import Mart
 from eventmart.session import configure, fresh_path
 from eventmart.sources import files, messages
-from eventmart.streaming import aggregates, ingest, parse
+from eventmart.streaming import aggregates, compaction, ingest, parse
 from parity import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -510,6 +510,83 @@ def stream_metrics(spark, sf_dir):
     return ingest.metrics_totals(ingest.stream_metrics(spark, ingested(spark, sf_dir)))
 
 
+class OftenMerged(ingest.Ingest):
+    """Two batches make a set of the key table."""
+
+    fan, buckets = 2, 8
+
+
+def merged_stream(spark: SparkSession, sf_dir: str) -> str:
+    """The dirty fixture in eight message files, one per batch, then all of it again under another checkpoint; key sets and row sets are merged."""
+    source, target = fresh_path(spark, "messages"), fresh_path(spark, "stream")
+    messages.publish_files(raw(spark, sf_dir, dirty=True).repartition(8, "event_id"), source)
+    for files_per_batch in (2, 4):
+        stream = messages.file_stream(spark, source, max_files=files_per_batch)
+        ingest.drain(ingest.start_ingest(stream, target, fresh_path(spark, "checkpoint"), sink=OftenMerged))
+    table = compaction.Compaction(spark, target)
+    table.compact()
+    table.sweep()
+    return target
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """The stream table after batches and a replay, merged into sets, and what was replaced deleted."""
+    return plain(stream_rows(spark, merged_stream(spark, sf_dir)))
+
+
+@query
+def stream_keys(spark, sf_dir):
+    """Every id of the key table, as often as it is stored."""
+    target = merged_stream(spark, sf_dir)
+    stored_ids = OftenMerged(spark, target, "reader").keys.all()
+    return stored_ids.groupBy("event_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def stream_time_range(spark, sf_dir):
+    """A week of the merged stream, from the months and files that hold it."""
+    table = compaction.Compaction(spark, merged_stream(spark, sf_dir))
+    return plain(table.between("2024-02-01", "2024-02-08").select(*schemas.STREAM_COLUMNS))
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Counters of both modes, over all batches: taken before duplicates are dropped."""
+    out = None
+    for mode in ("table", "state"):
+        sums = [F.sum(c).cast("long").alias(c) for c in ("received", "inserted", "skipped", "anomalies")]
+        totals = ingest.stream_metrics(spark, ingested(spark, sf_dir, mode)).agg(F.lit(mode).alias("mode"), *sums)
+        out = totals if out is None else out.unionAll(totals)
+    return out
+
+
+def copies_in_files(spark: SparkSession, sf_dir: str) -> str:
+    """Every event in three of four files of one folder, each time with another value; the files' names give the order."""
+    rows, path = raw(spark, sf_dir), fresh_path(spark, "messages")
+    rows = rows.where("copy = 1").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    changed = (F.col("value").cast("decimal(10,2)") + F.col("n")).cast("decimal(10,2)").cast("string")
+    # a range partition for each file: the part files are named in the order of the ranges
+    rows = rows.withColumns({"value": changed, "file": (F.col("k") + F.col("n")) % 4})
+    for n in range(4):
+        messages.publish_files(rows.where(F.col("file") == n).coalesce(1), f"{path}/file={n}")
+    return path
+
+
+@query
+def stream_first_in_order(spark, sf_dir):
+    """Of copies with different values in one batch, the one whose file comes first, in both modes; later batches change nothing."""
+    source, out = copies_in_files(spark, sf_dir), None
+    for mode in ("table", "state"):
+        target, checkpoint = fresh_path(spark, "stream"), fresh_path(spark, "checkpoint")
+        for _ in range(2):  # the second time under a new checkpoint
+            ingest.drain(ingest.start_ingest(messages.file_stream(spark, source), target, checkpoint, mode))
+            checkpoint = fresh_path(spark, "checkpoint")
+        rows = plain(stream_rows(spark, target)).select(F.lit(mode).alias("mode"), "event_id", "value")
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 @query
 def stream_revenue_agg(spark, sf_dir):
     """Daily windows over the ingested stream."""
