@@ -1,4 +1,4 @@
-"""The jobs of a warehouse folder: load, publish, ingest, queries, health, retire.
+"""The jobs of a warehouse folder: load, publish, ingest, compact, revenue, queries, health, retire.
 
     python -m eventmart.jobs load --root hdfs:///mart --csv hdfs:///in/*.csv
 """
@@ -17,9 +17,10 @@ from eventmart.plans import analytics, quality
 from eventmart.plans.mart import Mart
 from eventmart.session import configure
 from eventmart.sources import files, messages
-from eventmart.streaming import ingest
+from eventmart.streaming import aggregates, compaction, ingest
 
 log = logging.getLogger("eventmart")
+SINKS = {"events": ingest.Ingest, "revenue": aggregates.RevenueSink, "dual": aggregates.DualSink}
 
 
 def health(mart: Mart, minimum: int):
@@ -66,6 +67,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--batch-size", type=int, help="offsets (or files) per micro-batch")
     p.add_argument("--dedup", choices=["table", "state"], default="table")
     p.add_argument("--interval", help="'10 seconds'; without it the job drains the source and stops")
+    p.add_argument("--sink", choices=sorted(SINKS), default="events", help="what is kept beside the events")
+    p = job("compact", "root")
+    p.add_argument("--sweep", action="store_true", help="delete what was replaced; no reader may use an older version")
+    p = job("revenue", "root")
+    p.add_argument("--out", help="folder for the whole result, as parquet")
     p = job("queries", "root")
     p.add_argument("--out", help="folder for the whole results, as parquet; without it their first rows are shown")
     p = job("health", "root")
@@ -90,15 +96,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             messages.publish_kafka(rows, args.topic, args.bootstrap)
     elif args.job == "ingest":
         source = message_source(spark, args)
-        ingest.drain(ingest.start_ingest(source, args.root, args.checkpoint, args.dedup, args.interval))
+        ingest.drain(ingest.start_ingest(source, args.root, args.checkpoint, args.dedup, args.interval, SINKS[args.sink]))
         ingest.metrics_totals(ingest.stream_metrics(spark, args.root)).show()
+    elif args.job == "compact":
+        table = compaction.Compaction(spark, args.root)
+        log.info("merged: %s, deleted: %s", table.compact(), table.sweep() if args.sweep else 0)
+    elif args.job == "revenue":
+        sums = aggregates.revenue(spark, args.root)
+        if args.out:
+            sums.write.mode("overwrite").parquet(f"{args.out}/stream_revenue")
+        else:
+            sums.orderBy("window_start", "event_type").show(truncate=False)
     elif args.job == "queries":
         mart = Mart(spark, args.root)
         results = {
             "q1_monthly_revenue": analytics.q1_monthly_revenue(mart.fact(), types=mart.dim("dim_event_type")),
             "q2_top_entities": analytics.q2_top_entities(mart.fact(), methods=mart.dim("dim_payment_method")),
-            "daily_rollup": analytics.daily_rollup(mart.fact(), mart.dim("dim_event_type")),
-            "entity_metrics": analytics.entity_metrics(mart.fact()),
+            "daily_rollup": mart.summaries.daily_rollup(mart.dim("dim_event_type")),
+            "entity_metrics": mart.summaries.entity_metrics(),
         }
         for name, df in results.items():
             if args.out:

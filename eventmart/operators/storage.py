@@ -27,6 +27,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.rename(p, _fs(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small marker file; False when it is already there."""
     fs, p = _fs(spark, path)
@@ -72,10 +78,12 @@ def files(spark: SparkSession, path: str | list[str]) -> list[str]:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file, without its line end and byte order mark."""
+    """The first line of a text file, without its line end and byte order mark; compressed files are known by their names."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    source = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p) if codec is None else codec.createInputStream(fs.open(p))
+    source = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
         return (source.readLine() or "").lstrip("\ufeff")
     finally:

@@ -6,6 +6,8 @@ Layout below ``root``::
     dim_event_type/ dim_payment_method/ dim_vendor/ dim_zone/
     fact_events/           event_month=.../  bucketed by event_id, sorted by entity_id
     rejected_events/       load_id=.../      rows a load did not accept, with the reason
+    pending_loads/         a marker of the load that is running, or was cut short
+    summary_*/             anomalies and partial sums, see ``plans.summaries``
     streaming_events/      written by the stream, see ``streaming.ingest``
 
 The fact table is registered in the catalog because bucketing lives there: the
@@ -15,6 +17,7 @@ that join is what keeps event_id unique over the whole history.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,7 @@ from eventmart import schemas
 from eventmart.operators import dedup, dims, lookup, storage, transform
 from eventmart.operators.access import month_of
 from eventmart.plans import quality
+from eventmart.plans.summaries import Summaries
 from eventmart.session import configure, settings
 from eventmart.streaming import ingest
 
@@ -53,6 +57,7 @@ class Mart:
         self.buckets = int(storage.read_text(spark, marker))
         self.database = "eventmart_" + uuid.uuid5(uuid.NAMESPACE_URL, self.root).hex[:16]
         self.fact_table = f"{self.database}.fact_events"
+        self.summaries = Summaries(spark, self.root)
         self._create_tables()
 
     def path(self, name: str) -> str:
@@ -73,6 +78,10 @@ class Mart:
             f" LOCATION '{self.path('fact_events')}'"
         )
         self._recover_months()
+        self._finish_zones()
+        self.finish_pending()
+        if storage.write_text(spark, self.path("pending_loads/summaries.txt"), "made") and self.months():
+            self.summaries.rebuild(self.fact())  # a folder of an earlier release
         seeds = {
             "dim_event_type": lookup.event_types(spark),
             "dim_payment_method": lookup.payment_methods(spark),
@@ -85,10 +94,23 @@ class Mart:
                 rows.write.mode("append").parquet(self.path(name))
 
     def _recover_months(self) -> None:
-        """Register month folders the catalog doesn't know: what a load left that died after its files."""
-        if storage.exists(self.spark, self.path("fact_events")):
+        """Register month folders the catalog doesn't know: what a load left that died after its files.
+
+        The names of both are compared first, one per month; the repair, which lists all of them
+        deeply, is run only where they differ.
+        """
+        names = storage.children(self.spark, self.path("fact_events"))
+        if {n.removeprefix("event_month=") for n in names if n.startswith("event_month=")} - set(self.months()):
             self.spark.sql(f"MSCK REPAIR TABLE {self.fact_table}")
 
+    def finish_pending(self) -> None:
+        """Finish what a load left that was cut short: register its months, and keep the figures of its rows."""
+        for name in storage.children(self.spark, self.path("pending_loads")):
+            if name.startswith("load-"):
+                self._recover_months()
+                self.summaries.add(self.fact(), int(name.removeprefix("load-").removesuffix(".txt")))
+                storage.delete(self.spark, self.path(f"pending_loads/{name}"))
+
     def _append(self, members: DataFrame, name: str) -> None:
         """Add dimension members; most loads have none, and then no file is written."""
         if not members.isEmpty():
@@ -161,6 +183,7 @@ class Mart:
         keys: DataFrame | None = None,
         key_count: int | None = None,
         scope: str = "all",
+        months: list | None = None,
     ) -> None:
         """Insert the first row per event_id, unless the fact table has that id already.
 
@@ -170,12 +193,19 @@ class Mart:
 
         ``scope='all'`` compares with every stored id. ``scope='month'`` reads only the
         ids of the months the new rows fall into; it is weaker, because an id that
-        comes back with a time in another month is then inserted again.
+        comes back with a time in another month is then inserted again. ``months`` are those
+        that the rows fall into, when known.
         """
         if scope not in ("all", "month"):
             raise ValueError("scope is 'all' or 'month'")
         with settings(self.spark, {"spark.sql.shuffle.partitions": str(self.buckets)}):
-            self.fact_rows(rows, keys, key_count, scope).write.insertInto(self.fact_table)
+            self.finish_pending()
+            load = time.time_ns() // 1000
+            marker = self.path(f"pending_loads/load-{load}.txt")
+            storage.write_text(self.spark, marker, "running")
+            self.fact_rows(rows, keys, key_count, scope, load).write.insertInto(self.fact_table)
+            self.summaries.add(self.fact(), load, months)
+            storage.delete(self.spark, marker)
 
     def fact_rows(
         self,
@@ -183,8 +213,9 @@ class Mart:
         keys: DataFrame | None = None,
         key_count: int | None = None,
         scope: str = "all",
+        load: int | None = None,
     ) -> DataFrame:
-        """The rows ``insert_facts`` writes, in the layout of the fact table."""
+        """The rows ``insert_facts`` writes, in the layout of the fact table; ``load`` is their load time in microseconds."""
         stored = None
         self._recover_months()
         if self.months():
@@ -197,7 +228,7 @@ class Mart:
             rows = dedup.absent_rows(rows, stored, keys=keys, key_count=key_count)
         return rows.select(
             *schemas.FACT_COLUMNS,
-            F.current_timestamp().alias("ingested_at"),
+            (F.current_timestamp() if load is None else F.timestamp_micros(F.lit(load))).alias("ingested_at"),
             month_of(F.col("event_timestamp")).alias("event_month"),
         ).repartition(self.buckets, "event_id")
 
@@ -233,7 +264,9 @@ class Mart:
         # All ids of staging, not only the accepted ones: a superset is as good, and a
         # filter here would be evaluated on every stored key as well.
         facts = transform.fact_transform(judged, self.dim("dim_event_type"), self.dim("dim_payment_method"))
-        self.insert_facts(facts, staged.select("event_id"), staged.count(), scope=scope)
+        times = staged.where("reject_reason IS NULL").select(month_of(transform.casts.batch_timestamp(F.col("event_timestamp"))).alias("m"))
+        months = [r.m for r in times.distinct().collect()]  # one row per month
+        self.insert_facts(facts, staged.select("event_id"), staged.count(), scope, months)
 
     @staticmethod
     def load_id_of(staged: DataFrame) -> str:
@@ -260,13 +293,25 @@ class Mart:
     def name_zones(self, names: DataFrame) -> None:
         """Write zone names (``names``: zone_id, zone_name) into the stored dimension.
 
-        The new rows are written beside it first, then replace it; the dimension is small.
+        The new rows are written beside it, in full; then one marker makes them the ones that
+        count, and they take the old ones' place. A job that dies before the marker changes
+        nothing; after it, whoever opens the folder next finishes the exchange.
         """
+        self._finish_zones()
         named = dims.zone_enrich(self.dim("dim_zone"), names)
-        aside = self.path(f"dim_zone-{uuid.uuid4().hex[:12]}")
-        named.write.parquet(aside)
-        self.spark.read.schema(schemas.nullable(schemas.ZONE_SCHEMA)).parquet(aside).write.mode("overwrite").parquet(self.path("dim_zone"))
-        storage.delete(self.spark, aside)
+        named.write.mode("overwrite").parquet(self.path("dim_zone-next"))
+        storage.write_text(self.spark, self.path("dim_zone-next.txt"), "complete")
+        self._finish_zones()
+
+    def _finish_zones(self) -> None:
+        """Exchange the zones for those written beside them, if these are complete. Every step can be repeated."""
+        marker, aside = self.path("dim_zone-next.txt"), self.path("dim_zone-next")
+        if not storage.exists(self.spark, marker):
+            return
+        if storage.exists(self.spark, aside):
+            storage.delete(self.spark, self.path("dim_zone"))
+            storage.rename(self.spark, aside, self.path("dim_zone"))
+        storage.delete(self.spark, marker)
 
     # --- months ---------------------------------------------------------------
 
@@ -288,6 +333,7 @@ class Mart:
         if not rows.select("event_id").join(archived.select("event_id"), "event_id", "left_anti").isEmpty():
             raise RuntimeError("the archive is incomplete, nothing was dropped")
         for m in old:
+            self.summaries.drop_month(m)  # first: a run cut short here finds the month again
             spark.sql(f"ALTER TABLE {self.fact_table} DROP IF EXISTS PARTITION (event_month = DATE'{m}')")
             storage.delete(spark, f"{self.path('fact_events')}/event_month={m}")
         return old

@@ -55,7 +55,8 @@ def csv_scan_by_name(spark: SparkSession, path: str | list[str], multi_line: boo
     """CSV scan by header name: any column order, all text, missing columns NULL.
 
     Every file has its own header. Files are listed and their first lines read; those
-    with the same header make one scan.
+    with the same header make one scan. Compressed files are read like others. A file without any of the fourteen
+    names in its first line is an error: it would give rows of NULLs.
     """
     reader = spark.read.option("header", True).option("nullValue", "").option("quote", '"').option("escape", '"')
     reader = reader.option("enforceSchema", True).option("multiLine", multi_line)
@@ -65,6 +66,8 @@ def csv_scan_by_name(spark: SparkSession, path: str | list[str], multi_line: boo
     out = None
     for line, files in by_header.items():
         header = next(csv.reader([line]), [])
+        if line and not set(header) & set(schemas.RAW_COLUMNS):
+            raise ValueError(f"no known column in the header of {files[0]}: {line[:200]!r}")
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         columns = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in schemas.RAW_COLUMNS]
         rows = reader.schema(schema).csv(files).select(*columns, *arrival_order())
@@ -74,10 +77,11 @@ def csv_scan_by_name(spark: SparkSession, path: str | list[str], multi_line: boo
     return out
 
 
-def csv_write(df: DataFrame, path: str) -> None:
+def csv_write(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write raw rows as CSV with a header; NULL as an empty field, blanks kept."""
     (
         df.write.option("header", True)
+        .option("compression", compression)
         .option("nullValue", "")
         .option("emptyValue", "")
         .option("escape", '"')

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +71,72 @@ def freshness(events: DataFrame, by: list[str | Column], target_seconds: int = 3
     )
 
 
+#: Leading bits of a delay that a histogram keeps: its bins are less than one part in 64 wide.
+LAG_BITS = 7
+
+
+def lag_edge(micros: Column) -> Column:
+    """The largest delay of the same bin: the leading bits as they are, and all others set. Integers only, so any engine agrees."""
+    micros = F.greatest(micros, F.lit(0).cast("long"))
+    shift = F.greatest(F.length(F.bin(micros)) - LAG_BITS, F.lit(0))
+    kept = F.call_function("shiftright", micros, shift) + 1
+    return F.call_function("shiftleft", kept, shift) - 1
+
+
+def lag_parts(events: DataFrame, by: list[str], target_seconds: int = 30) -> DataFrame:
+    """A histogram of the delays of some events, by group: parts of different batches can be added up."""
+    micros = F.unix_micros("received_at") - F.unix_micros("event_timestamp")
+    return (
+        events.withColumn("lag", micros)
+        .groupBy(*by, lag_edge(F.col("lag")).alias("edge"))
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.max("lag").alias("max_lag"),
+            F.count_if(F.col("lag") <= target_seconds * 1_000_000).alias("within_target"),
+        )
+    )
+
+
+def merged_freshness(parts: DataFrame, by: list[str], share: float = 0.95) -> DataFrame:
+    """The figures of ``freshness`` over all parts, from their histograms.
+
+    The percentile is the upper edge of the bin that holds it: at most one part in 64 above the
+    exact one (nearest rank), never below. A delay below zero counts as none there.
+    """
+    bins = parts.groupBy(*by, "edge").agg(F.sum("row_count").alias("n"), F.max("max_lag").alias("most"), F.sum("within_target").alias("within"))
+    own = Window.partitionBy(*by)
+    upto = F.sum("n").over(own.orderBy("edge").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = bins.withColumns({"upto": upto, "total": F.sum("n").over(own)})
+    seconds = 1_000_000.0
+    return ranked.groupBy(*by).agg(
+        F.sum("n").alias("row_count"),
+        (F.max("most") / seconds).alias("max_lag_seconds"),
+        (F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(str(share)).cast("decimal(6,4)")), F.col("edge"))) / seconds).alias("p95_lag_seconds"),
+        F.sum("within").alias("within_target"),
+    )
+
+
+class FreshnessSink(Ingest):
+    """Ingest that keeps the histogram of delays of every batch, by event type; a repeated batch replaces its own."""
+
+    target_seconds = 30
+
+    def write(self, batch: DataFrame, batch_id: int) -> bool:
+        wrote = super().write(batch, batch_id)
+        if wrote:
+            parts = lag_parts(self.events_of(batch_id), ["event_type"], self.target_seconds)
+            parts.coalesce(1).write.mode("overwrite").parquet(self.folder("freshness_parts", batch_id))
+        return wrote
+
+
+LAG_SCHEMA = T.StructType([T.StructField("event_type", T.StringType())] + [T.StructField(c, T.LongType()) for c in ("edge", "row_count", "max_lag", "within_target")])
+
+
+def stream_freshness(spark: SparkSession, target: str) -> DataFrame:
+    """Freshness by event type over all batches of all runs."""
+    return merged_freshness(storage.read_or_empty(spark, f"{target}/freshness_parts", LAG_SCHEMA), ["event_type"])
+
+
 class DualSink(Ingest):
     """Ingest that feeds an analytical copy, partitioned by month, from every batch.
 

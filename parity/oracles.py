@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from eventmart import schemas
+from eventmart.streaming import aggregates
 from parity import fixture
 from parity.queries import MIN_ROWS, SECOND_LOAD_FROM
 
@@ -229,7 +230,7 @@ ORACLES = {
     "csv_malformed_rows": RAW
     + f"""SELECT coalesce({REASON}, 'accepted') AS reject_reason, count(*) AS row_count, 0::BIGINT AS lines_kept
  FROM raw GROUP BY 1 UNION ALL SELECT 'malformed_row', 2 * count(*), 2 * count(*) FROM raw""",
-    "csv_by_name_mixed_headers": RAW + f"SELECT {NAMES} FROM raw UNION ALL SELECT {NAMES} FROM raw",
+    "csv_by_name_mixed_headers": RAW + f"SELECT {NAMES} FROM raw, range(3)",
     "dim_extended": CLEAN.replace("(5::SMALLINT, 'scheduled')", "(5::SMALLINT, 'scheduled'), (6::SMALLINT, 'mystery')")
     + """, n AS (SELECT count(*) AS found FROM fact WHERE event_type_id = 6)
  SELECT et.name AS event_type, count(*) AS in_q1, any_value(n.found) AS found FROM fact
@@ -421,6 +422,13 @@ ORACLES = {
     "freshness": CLEAN
     + """SELECT event_type_id, count(*) AS row_count, CAST(max(zone_id * 7 % 45) AS DOUBLE) AS max_lag_seconds,
  count(*) FILTER (WHERE zone_id * 7 % 45 <= 30) AS within_target FROM fact GROUP BY 1""",
+    "freshness_over_batches": CLEAN
+    + f""", lags AS (SELECT coalesce(event_type_id, -1) AS t, CAST(zone_id * 7 % 45 AS BIGINT) * 1000000 + entity_id % 1000 AS x FROM fact),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY x) AS r, count(*) OVER (PARTITION BY t) AS n FROM lags),
+p95 AS (SELECT t, min(x) AS q, CAST(greatest(length(bin(min(x))) - {aggregates.LAG_BITS}, 0) AS BIGINT) AS s FROM ranked WHERE 100 * r >= 95 * n GROUP BY 1)
+SELECT CAST(nullif(t, -1) AS SMALLINT) AS event_type_id, count(*) AS row_count, CAST(max(x) AS DOUBLE) / 1000000 AS max_lag_seconds,
+ CAST(any_value((((q >> s) + 1) << s) - 1) AS DOUBLE) / 1000000 AS p95_lag_seconds,
+ count(*) FILTER (WHERE x <= 30000000) AS within_target FROM lags JOIN p95 USING (t) GROUP BY t""",
     "dual_sink": STREAM
     + """SELECT copy, CAST(date_trunc('month', event_timestamp) AS DATE) AS month, count(*) AS row_count,
  CAST(sum(total_value) AS DOUBLE) AS total_value
@@ -442,4 +450,17 @@ ORACLES = {
  WHERE event_id NOT IN (SELECT event_id FROM fact)""",
 }
 
+KEPT = (
+    "WITH "
+    + raw_cte("raw")
+    + f""", loaded AS (SELECT * FROM raw WHERE event_timestamp < '{SECOND_LOAD_FROM}'
+  UNION ALL SELECT * FROM {resent_rows("raw")} WHERE event_timestamp >= '{SECOND_LOAD_FROM}'), """
+    + DIMS
+    + ", "
+    + fact_cte("every", "loaded")
+    + ", fact AS (SELECT * FROM every WHERE event_timestamp >= TIMESTAMP '2024-02-01') "
+)
+ORACLES["anomaly_table"] = KEPT + f"SELECT {FACT_OUT} FROM fact WHERE is_anomaly"
+ORACLES["daily_rollup_kept"] = KEPT + ORACLES["daily_rollup"].removeprefix(CLEAN)
+ORACLES["entity_metrics_kept"] = KEPT + ORACLES["entity_metrics"].removeprefix(CLEAN)
 ORACLES["stream_revenue_repeated"] = ORACLES["stream_revenue_agg"]

@@ -136,10 +136,11 @@ def csv_malformed_rows(spark, sf_dir):
 
 @query
 def csv_by_name_mixed_headers(spark, sf_dir):
-    """Files whose columns stand in opposite order, in one scan."""
+    """Files whose columns stand in opposite order, plain and compressed, in one scan."""
     rows, path = texts(raw(spark, sf_dir)), fresh_path(spark, "csv")
     files.csv_write(rows, f"{path}/forward")
     files.csv_write(rows.select(*reversed(schemas.RAW_COLUMNS)), f"{path}/backward")
+    files.csv_write(rows, f"{path}/compressed", "gzip")
     return texts(files.csv_scan_by_name(spark, path))
 
 
@@ -393,6 +394,33 @@ def anomaly_scan(spark, sf_dir):
     return stored(access.anomaly_scan(loaded_mart(spark, sf_dir).fact()))
 
 
+def three_loads(spark: SparkSession, sf_dir: str) -> Mart:
+    """Two months, then everything with other values, then the first load again; January retires."""
+    mart, rows = new_mart(spark), raw(spark, sf_dir)
+    first = rows.where(F.col("event_timestamp") < SECOND_LOAD_FROM)
+    for load in (first, resent(rows), first):
+        mart.load_batch(load)
+    mart.retire_months("2024-02-01", fresh_path(spark, "archive"))
+    return mart
+
+
+@query
+def anomaly_table(spark, sf_dir):
+    """The anomalies kept beside the facts, over loads, a repeated load and a retired month."""
+    return stored(three_loads(spark, sf_dir).summaries.anomalies())
+
+
+@query
+def daily_rollup_kept(spark, sf_dir):
+    """The daily report from the partial sums of the same loads."""
+    return plain(three_loads(spark, sf_dir).summaries.daily_rollup())
+
+
+@query
+def entity_metrics_kept(spark, sf_dir):
+    return plain(three_loads(spark, sf_dir).summaries.entity_metrics())
+
+
 # --- quality ------------------------------------------------------------------
 
 
@@ -616,6 +644,18 @@ def freshness(spark, sf_dir):
     return aggregates.freshness(received, ["event_type_id"]).drop("p95_lag_seconds")
 
 
+@query
+def freshness_over_batches(spark, sf_dir):
+    """Delays to the microsecond in three batches: stored histograms, added up, with the 95th percentile."""
+    micros = F.col("zone_id").cast("long") * 7 % 45 * 1_000_000 + F.col("entity_id") % 1000
+    rows = facts(spark, sf_dir).withColumn("received_at", F.timestamp_micros(F.unix_micros("event_timestamp") + micros))
+    path = fresh_path(spark, "freshness")
+    for n in range(3):
+        part = rows.where(F.crc32("event_id") % 3 == n)
+        aggregates.lag_parts(part, ["event_type_id"]).write.parquet(f"{path}/batch={n}")
+    return aggregates.merged_freshness(spark.read.parquet(path), ["event_type_id"])
+
+
 @query
 def dual_sink(spark, sf_dir):
     """Rows and revenue of the operational and of the analytical copy."""
