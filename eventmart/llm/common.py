@@ -15,11 +15,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.session import fresh_path
 
 #: A side of a join is broadcast up to so many narrow rows; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: And of so many bytes, a field counting as the least that a hash table takes for it beside its text.
+BROADCAST_BYTES, FIELD_BYTES = 96 << 20, 16
 #: Characters of text handled at a time inside a task.
 SLICE_CHARS = 2_000_000
 
@@ -32,9 +35,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if it is proven small; ``rows`` if already counted."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    """``df`` with a broadcast hint if it is proven small, in rows and in bytes; ``rows`` if already counted."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType | T.BinaryType)]
+    chars = 0
+    if rows is None or texts:
+        sizes = [F.coalesce(F.sum(F.octet_length(f"`{c}`").cast("long")), F.lit(0)) for c in texts]
+        rows, *sizes = df.agg(F.count("*"), *sizes).first()
+        chars = sum(sizes)
+    narrow = rows <= BROADCAST_ROWS and chars + FIELD_BYTES * rows * len(df.columns) <= BROADCAST_BYTES
+    return F.broadcast(df) if narrow else df
 
 
 #: Bytes of an Arrow batch: what a Python worker holds of its input at a time.

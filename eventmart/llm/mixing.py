@@ -1,7 +1,7 @@
 """Operator 5: mix sources to target weights, with DataFrame functions only.
 
-The words of a source are one stream, in order of doc_id, cut into blocks of a
-fixed number of words; a document lies in one block or spans several. The mix is drawn
+The words of a source are one stream, in order of doc_id, cut into blocks of the
+same number of words, fewer for sources of which few are taken; a document lies in one block or spans several. The mix is drawn
 in slots of one block each. A slot falls into one output shard by its hash, so
 the counts of sources in a shard are a multinomial draw whose totals are the targets.
 Slot i of a source (counted over the shards, by a prefix sum of the drawn counts)
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import small, staged, width
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words of a block.
-BLOCK_WORDS = 256
+#: Words of a block, at most. A target is made of so many blocks at least, which brings what is taken to
+#: within half a block of it, unless that gives a source more than the most blocks.
+BLOCK_WORDS, LEAST_SLOTS, MOST_BLOCKS = 256, 256, 1 << 22
 #: Slots of an output shard.
 SHARD_SLOTS = 4096
 #: Weights of sources in order of their names, repeating.
@@ -93,14 +94,22 @@ def _same(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
 
 
+def fitted(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """``sources`` with the words of a block of each, ``block`` at most."""
+    fine = F.floor(F.col("target") / LEAST_SLOTS).cast("long")
+    least = F.ceil(F.col("source_size") / MOST_BLOCKS).cast("long")
+    return sources.withColumn("block_words", F.least(F.lit(block).cast("long"), F.greatest(fine, least, F.lit(1).cast("long"))))
+
+
 def draw(sources: DataFrame, block: int = BLOCK_WORDS, shard: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """(shard, slot, source, block): what every slot of the mix takes.
 
     A source has as many slots as bring its words nearest to its target, and at most
-    its limit. All is hashing of names and numbers, so reruns agree.
+    its limit. Its blocks have ``block_words`` words where ``sources`` says so, else ``block``.
+    All is hashing of names and numbers, so reruns agree.
     """
     spark = sources.sparkSession
-    blocks = F.ceil(F.col("source_size") / block)
+    blocks = F.ceil(F.col("source_size") / (F.col("block_words") if "block_words" in sources.columns else block))
     sources = sources.filter("source_size > 0").withColumn("blocks", blocks)
     # a whole pass takes every word of the source once
     slots = F.round(F.col("target") / (F.col("source_size") / F.col("blocks"))).cast("long")
@@ -135,10 +144,12 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
     and take no part. Repeated rows count as often as they occur.
     """
     placed = sizes_in_order(docs)
-    sources = targets(placed)
-    first, end = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    spans = placed.filter("size > 0").select("source", "doc_id", "start", "size", F.explode(F.sequence(first, end)).alias("block"))
-    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
+    sources = staged(fitted(targets(placed), block), "fitted")
+    per = F.col("block_words")
+    sized = placed.filter("size > 0").join(small(sources.select(F.col("source").alias("_s"), "block_words")), _same("source", "_s"))
+    first, end = F.floor(F.col("start") / per), F.floor((F.col("start") + F.col("size") - 1) / per)
+    spans = sized.select("source", "doc_id", "start", "size", "block_words", F.explode(F.sequence(first, end)).alias("block"))
+    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * per) - F.greatest(F.col("start"), F.col("block") * per)
     segments = spans.select("source", "block", "doc_id", "start", words.alias("words"))
     return Mix(placed, segments, draw(sources, block, seed=seed), sources)
 

@@ -58,10 +58,11 @@ def _urls() -> str:
     joins += "".join(f" LEFT JOIN counts c{k} ON c{k}.key = left(right(gram, {k}), {k - 1})" for k in range(2, n + 1))
     suffixes = ", ".join(f"right(gram, {k})" for k in range(1, n + 1))
     step = f"CAST(round(greatest({-urls.BOUND}, least({urls.BOUND}, score)) / {urls.STEP}) AS BIGINT)"
-    return f"""WITH parts AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM parts),
-judged AS MATERIALIZED (SELECT page_id, host, path, {_rules()} AS fit, host || path AS text FROM (
- SELECT page_id, translate(raw, '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(rest, len(raw) + 1), '^[^?#]*') AS path FROM hosts)),
+    return f"""WITH parts AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT page_id, url, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM parts),
+judged AS MATERIALIZED (SELECT page_id, host, path, {_rules()} AS fit,
+ CASE WHEN contains(url, '://') THEN left(url, strpos(url, '://') + 2) || host || substr(rest, len(raw) + 1) ELSE coalesce(url, '') END AS text FROM (
+ SELECT page_id, url, rest, raw, translate(raw, '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(rest, len(raw) + 1), '^[^?#]*') AS path FROM hosts)),
 texts AS MATERIALIZED (SELECT text, max(CASE WHEN fit LIKE 'allow%' THEN 1 WHEN fit IS NOT NULL THEN 0 END) AS label FROM judged GROUP BY 1),
 rows AS MATERIALIZED (SELECT judged.text, CASE WHEN fit LIKE 'allow%' THEN 1 WHEN fit IS NOT NULL THEN 0 END AS label,
  {_crc('judged.text')} % 5 = 0 AS held FROM judged),

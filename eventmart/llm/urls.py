@@ -4,7 +4,8 @@ Two Markov models of variable order, one of accepted and one of rejected URLs, a
 the URLs that the rules decide. The probability of a character interpolates all orders:
 p_k = (n(context, char) + STRENGTH * p_(k-1)) / (n(context) + STRENGTH), from a uniform p_0.
 A URL's score is the log-likelihood difference per character, and the threshold is
-calibrated on URLs that were held out of the models.
+calibrated on URLs that were held out of the models. What is scored is the whole URL, its host in
+lower case: scheme, host, path, query and fragment.
 
 All counts are of grams: every URL is exploded to its grams of ORDER characters, and
 summing them by gram is map-side. Shorter grams are suffixes of those, so they are
@@ -48,6 +49,16 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(raw, string.ascii_uppercase, string.ascii_lowercase), path
 
 
+def whole(url: Column) -> Column:
+    """The text that is scored: the URL with its host in lower case; as it is without "://"; empty if null."""
+    at = F.coalesce(F.instr(url, "://"), F.lit(0))
+    lead = F.substr(url, F.lit(1), at + 2)
+    rest = F.substr(url, at + 3)
+    raw = F.regexp_extract(rest, r"^[^/?#]*", 0)
+    lower = F.concat(lead, F.translate(raw, string.ascii_uppercase, string.ascii_lowercase), F.substr(rest, F.length(raw) + 1))
+    return F.coalesce(F.when(at > 0, lower).otherwise(url), F.lit(""))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """The longest rule that fits the host or a domain above it, and the beginning of the path; a struct, or null."""
     fits = []
@@ -117,13 +128,14 @@ def calibrated(scored: DataFrame) -> float:
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for each row of ``pages`` (page_id, url; others are ignored).
 
-    A URL that is null or has no "://" has an empty host and path. No rule fits it, and
-    its score is that of an empty text. A verdict is the longest fitting rule's, else allow
-    from the threshold on.
+    A URL that is null or has no "://" has an empty host and path, and no rule fits it; its
+    text is scored as it is, a null one as the empty text. A verdict is the longest fitting rule's, else allow
+    from the threshold on. Repeated rows have a row each; equal URLs are scored once. A very long URL
+    makes as many grams as it has characters. An empty table gives no rows.
     """
     host, path = host_and_path(F.col("url"))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("text", F.concat("host", "path"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), whole(F.col("url")).alias("text"))
+    rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     # equal texts are scored once; their fold is a hash of the text
     label = (F.col("fit.verdict") == "allow").cast("int")
     held = F.crc32(F.col("text").cast("binary")) % 5 == 0

@@ -86,3 +86,16 @@ def test_documents_are_repeated_as_often_as_taken(documents):
     assert out.select("doc_id", "text").distinct().count() == len(times)
     odd = mixing.mixed_documents(documents([(1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (None, "a b c", None, None)]))
     assert odd.filter(F.col("text") != "a b c").count() == 0
+
+
+def test_small_sources_come_near_their_targets(documents):
+    """To 1% or five words, whatever the size of the source."""
+    rows = [(i, "w " * n, None, s) for i, (s, n) in enumerate([("a", 10), ("a", 10), ("a", 10), ("b", 10), ("c", 30), ("d", 1), ("e", 900), ("e", 37), ("f", 40_000), (None, 250), (None, 7)])]
+    taken, target, size = Counter(), {}, Counter()
+    for r in mixing.mixed_words(documents(rows)).collect():
+        taken[r.source] += r.taken
+        target[r.source], size[r.source] = r.target, r.source_size
+        assert r.taken <= 2 * r.size
+    assert len(target) == 7
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= max(5, 0.01 * t), (s, taken[s], t, size[s])

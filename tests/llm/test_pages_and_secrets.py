@@ -200,3 +200,12 @@ def test_spans_on_the_tables(spark):
     docs = {r.doc_id: r.text or "" for r in table(spark, SF_DIR, "documents").collect()}
     out = secrets.scan(table(spark, SF_DIR, "documents")).select("doc_id", "base_sha256", F.col("n_assign") + F.col("n_access") + F.col("n_hex")).collect()
     assert all(r.base_sha256 == hashlib.sha256(listed(base_spans(docs[r.doc_id])).encode()).hexdigest() for r in out)
+
+
+def test_all_of_a_url_is_scored(spark):
+    """Query, fragment and scheme count, and so do texts without "://"; the host's case doesn't."""
+    learned = [f"http://a{i}.org/x?lesson=school{i}" for i in range(40)] + [f"http://a{i}.com/de/x?casino=win{i}" for i in range(40)]
+    asked = ["http://n.net/a?lesson=school", "http://n.net/a?casino=win", "lesson school", "casino win", "HTTP://N.net/a#casino", "HTTP://n.NET/a#casino", None]
+    pages = spark.createDataFrame(list(enumerate(learned + asked)), "page_id long, url string")
+    got = [r.score for r in urls.judge(pages).orderBy("page_id").collect()][len(learned) :]
+    assert got[0] > got[1] and got[2] > got[3] and got[4] == got[5] and None not in got
