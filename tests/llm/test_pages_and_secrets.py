@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import html
+import random
 import re
+import time
 
 import pytest
 from llm_rows import documents, odd_rows  # noqa: F401
@@ -76,6 +78,46 @@ def test_best_run():
     assert html_text.best_run([]) == (0, 0, 0.0)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_best_run_is_that_of_all_runs(seed):
+    rng = random.Random(seed)
+    scores = [float(rng.randint(-4, 4)) for _ in range(rng.randint(0, 60))]
+    sums = {(i, j): sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)}
+    most = max(sums.values(), default=0.0)
+    begin, end, total = html_text.best_run(scores)
+    assert total == max(most, 0.0)
+    if most > 0:
+        assert sums[begin, end] == most
+
+
+def words(n, stem):
+    return " ".join(f"{stem}{i}" for i in range(n))
+
+
+LOST = {
+    "most of it in tabs": (f"<main><h1>Title</h1><div class=tabs><p>{words(25, 'a')}</p><p>{words(25, 'b')}</p></div></main>", ["Title", words(25, "a"), words(25, "b")]),
+    "a section named discussion, and reviews": (f"<article><p>{words(31, 'a')}</p><section class=discussion><p>{words(19, 'd')}</p></section><div class=reviews><p>{words(20, 'r')}</p></div></article>", [words(31, "a"), words(19, "d"), words(20, "r")]),
+    "a long menu in between": (f"<article><p>{words(61, 'a')}</p><ul class=menu>{'<li><a href=x>menu item</a></li>' * 200}</ul><p>{words(120, 'b')}</p></article>", [words(61, "a"), words(120, "b")]),
+    "comments in a discussion": (f"<article><p>{words(31, 'a')}</p><section class=discussion><div class=comment><p>{words(30, 'c')}</p></div></section></article>", [words(31, "a")]),
+    "tabs of links": (f"<article><p>{words(31, 'a')}</p><ul class=tabs>{'<li><a href=x>One tab</a></li>' * 4}</ul><p>{words(9, 'b')}</p></article>", [words(31, "a"), words(9, "b")]),
+    "unfinished and odd tags": (f"<article><p title=it's x=\"a > b\">{words(20, 'a')}</p><div id=d <p>{words(9, 'b')} <b</p></article>", [words(20, "a"), words(9, "b")]),
+}
+
+
+@pytest.mark.parametrize("case", LOST)
+def test_weights_decide_within_a_main_element(case):
+    inner, want = LOST[case]
+    page = f"<html><body><nav><a href=/>Home page</a></nav>{inner}<footer>Imprint and more</footer></body></html>"
+    assert html_text.main_text(page).split("\n\n") == want
+
+
+@pytest.mark.parametrize("piece", ["<b>x ", "<a href=x ", "<p>", "<!x ", "<div class=ad>x ", '<a x="', "<title ", "</i><b>", "<li><ul>"])
+def test_time_is_linear_in_broken_pages(piece):
+    begin = time.monotonic()
+    html_text.main_text(piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - begin < 10
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", PAGE, 5, "x"), (1, "u", PAGE, 5, "x"), (None, None, None, None, None), (2, None, "", 1, "y")]
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long, text string"))
