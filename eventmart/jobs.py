@@ -15,6 +15,7 @@ from eventmart import schemas
 from eventmart.operators import storage
 from eventmart.plans import analytics, quality
 from eventmart.plans.mart import Mart
+from eventmart.plans.unify import UnifiedTable
 from eventmart.session import configure
 from eventmart.sources import files, messages
 from eventmart.streaming import aggregates, compaction, ingest
@@ -70,6 +71,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--sink", choices=sorted(SINKS), default="events", help="what is kept beside the events")
     p = job("compact", "root")
     p.add_argument("--sweep", action="store_true", help="delete what was replaced; no reader may use an older version")
+    p = job("unify", "root")
+    p.add_argument("--sweep", action="store_true", help="delete what was replaced; no reader may use an older version")
+    p.add_argument("--out", help="folder for all events, as parquet")
     p = job("revenue", "root")
     p.add_argument("--out", help="folder for the whole result, as parquet")
     p = job("queries", "root")
@@ -101,6 +105,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "compact":
         table = compaction.Compaction(spark, args.root)
         log.info("merged: %s, deleted: %s", table.compact(), table.sweep() if args.sweep else 0)
+    elif args.job == "unify":
+        unified = UnifiedTable(Mart(spark, args.root))
+        log.info("buckets written again: %s, deleted: %s", unified.merge(), unified.sweep() if args.sweep else 0)
+        if args.out:
+            unified.events().write.mode("overwrite").parquet(f"{args.out}/unified_events")
     elif args.job == "revenue":
         sums = aggregates.revenue(spark, args.root)
         if args.out:

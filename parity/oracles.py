@@ -464,3 +464,5 @@ ORACLES["anomaly_table"] = KEPT + f"SELECT {FACT_OUT} FROM fact WHERE is_anomaly
 ORACLES["daily_rollup_kept"] = KEPT + ORACLES["daily_rollup"].removeprefix(CLEAN)
 ORACLES["entity_metrics_kept"] = KEPT + ORACLES["entity_metrics"].removeprefix(CLEAN)
 ORACLES["stream_revenue_repeated"] = ORACLES["stream_revenue_agg"]
+ORACLES["unified_table"] = f"""SELECT a.arrival, u.* FROM ({ORACLES["unified_events"]}) u
+ CROSS JOIN (VALUES ('stream first'), ('facts first')) a(arrival)"""

@@ -679,3 +679,27 @@ def unified_events(spark, sf_dir):
     """Batch facts of the clean rows and stream rows of the dirty ones."""
     stream = stream_rows(spark, ingested(spark, sf_dir))
     return plain(unify.unified_events(loaded_mart(spark, sf_dir).fact(), stream, stream.count()))
+
+
+@query
+def unified_table(spark, sf_dir):
+    """The stored union in two orders of arrival: the stream first and the facts in two loads, with merges in between, one of them repeated; facts first."""
+    out = None
+    for order in ("stream first", "facts first"):
+        mart, rows, source = new_mart(spark), raw(spark, sf_dir), published(spark, sf_dir)
+        table = unify.UnifiedTable(mart)
+        if order == "facts first":
+            mart.load_batch(rows)
+            table.merge()
+        run_ingest(spark, source, mart.root)
+        run_ingest(spark, source, mart.root)  # under another checkpoint: nothing new
+        table.merge()
+        if order == "stream first":
+            mart.load_batch(rows.where("k % 2 = 0"), load_id="even")
+            table.merge()
+            table.merge()
+            mart.load_batch(rows.where("k % 2 = 1"), load_id="odd")
+        table.sweep()
+        found = plain(table.events()).select(F.lit(order).alias("arrival"), "*")
+        out = found if out is None else out.unionAll(found)
+    return out

@@ -24,6 +24,10 @@ def test_all_jobs(spark, capsys):
     assert job("ingest", "--root", root, "--checkpoint", fresh_path(spark, "cp"), "--messages", topic) == 0
     assert ingest.stream_events(spark, root).count() == 989
     assert job("queries", "--root", root) == 0
+    out = fresh_path(spark, "out")
+    assert job("unify", "--root", root, "--sweep", "--out", out) == 0
+    ids = spark.read.parquet(f"{out}/unified_events").select("event_id")
+    assert ids.count() == ids.distinct().count() >= 989
     assert job("health", "--root", root) == 1  # too few rows, unresolved names, new vendors
     assert "dominant_payment" in capsys.readouterr().out
     assert job("retire", "--root", root, "--before", "2024-02-01", "--archive", fresh_path(spark, "archive")) == 0
