@@ -9,7 +9,7 @@ credential, and is added as a span of kind ``owned`` where no base span covers i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import small, staged
@@ -26,19 +26,28 @@ WIDE = r"[A-Za-z0-9+/_=-]{20,}"
 OWNERS = 2
 #: So was one in more repositories than these, and than this share of its owners' repositories.
 REPOSITORIES, SHARE = 100, 0.001
+#: Matches of a text whose places are summed up together: an array that grows is copied at each step, so it has to stay short.
+RUN = 256
 
 
 def _spans(text: Column, pattern: str, kind: int, values: Column | None = None) -> Column:
     """(start, kind, end, value) of all matches, in code points.
 
     A split by the pattern gives what lies between the same matches, so their
-    places are running sums of lengths.
+    places are running sums of lengths: over runs of ``RUN`` matches first, then within each.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = matches if values is None else values
     pairs = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(matches), F.lit(1))), F.arrays_zip(matches.alias("m"), values.alias("v")), lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["m"]).alias("n"), m["v"].alias("v")))
     kinds = "array<struct<start:int,kind:int,end:int,value:string>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kinds).alias("out"))
+
+    def cut(whole):
+        return F.transform(F.sequence(F.lit(0), (F.size(whole) - 1).cast("int"), F.lit(RUN)), lambda at: F.slice(whole, at + 1, RUN))
+
+    def begun(runs):
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        total = lambda run: F.aggregate(run, F.lit(0), lambda n, p: n + p["gap"] + p["n"])
+        return F.aggregate(runs, start, lambda done, run: F.struct((done["at"] + total(run)).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")), lambda done: done["out"])
 
     def step(done, p):
         start = done["at"] + p["gap"]
@@ -46,7 +55,13 @@ def _spans(text: Column, pattern: str, kind: int, values: Column | None = None)
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["v"].alias("value"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
-    found = F.aggregate(pairs, begin, step, lambda done: done["out"])
+    def placed(runs):
+        begin = lambda at: F.struct(at.alias("at"), F.array().cast(kinds).alias("out"))
+        return F.flatten(F.zip_with(runs, begun(runs), lambda run, at: F.aggregate(run, begin(at), step, lambda done: done["out"])))
+
+    # an array of one element binds what is computed, so that it is computed once
+    bound = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)
+    found = bound(bound(pairs, cut), placed)
     return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(kinds))
 
 
@@ -62,20 +77,28 @@ def scan(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
     ``docs`` has doc_id, text and source (the owner; null is one owner); other columns are
     ignored. Null and empty texts have no span. ``n_copied`` and ``n_owned`` count the spans
     whose value was copied, which has more owners than ``owners`` or very many repositories, or not.
+    Repeated rows are judged each for itself; a text of many matches takes time in proportion to them;
+    an empty table gives none.
     """
     text = F.coalesce("text", F.lit(""))
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     assign = F.filter(_spans(text, ASSIGN, 0, values), lambda s: F.length(s["value"]) >= ASSIGN_LEAST)
     live = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), assign.alias("assign"), _spans(text, ACCESS, 1).alias("access"), _spans(text, HEX, 2).alias("hex"), F.filter(_spans(text, WIDE, 3), live).alias("wide"))
-    base = F.concat("assign", "access", "hex")
-    rows = rows.withColumn("base", base)
-    apart = lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    rows = rows.withColumn("wide", F.filter("wide", apart)).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("base", F.concat("assign", "access", "hex")).withColumn("row", F.monotonically_increasing_id())
     rows = staged(rows, "secrets")
 
+    # candidates that no base span covers: none that begins at or before them ends behind their start, none begins before their end
+    spans = rows.select("row", "doc_id", "source", F.explode(F.concat("base", "wide")).alias("s"))
+    order, known = ["s.start", "s.kind", "s.end"], F.col("s.kind") < KINDS.index("owned")
+    since, until = Window.partitionBy("row").orderBy(*order), Window.partitionBy("row").orderBy(*map(F.desc, order))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = spans.withColumn("_end", F.max(F.when(known, F.col("s.end"))).over(upto(since)))
+    spans = spans.withColumn("_start", F.min(F.when(known, F.col("s.start"))).over(upto(until)))
+    apart = (F.coalesce("_end", F.lit(0)) <= F.col("s.start")) & (F.col("_start").isNull() | (F.col("_start") >= F.col("s.end")))
+    spans = spans.filter(known | apart).drop("_end", "_start").withColumn("hash", F.sha2("s.value", 256))
+
     # owners and repositories of each value; a repository counts once for a value, however many rows it has
-    spans = rows.select("row", "doc_id", "source", F.explode(F.concat("base", "wide")).alias("s")).withColumn("hash", F.sha2("s.value", 256))
     held = spans.groupBy("hash", "source", "doc_id").agg(F.lit(1).alias("one"))
     held = held.groupBy("hash", "source").agg(F.count("*").alias("repositories"))
     sizes = rows.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("all"))
