@@ -1,10 +1,10 @@
 """Operator 9: near duplicates among embeddings by NN-descent.
 
-Every vector keeps a list of its ``NEIGHBOURS`` nearest so far. Lists begin with what shares a leaf of
-random projection trees: so many that they part a pair at the threshold in all trees with a probability
-of ``MISS`` at most, whatever else the table holds. They are refined by local joins: the vectors that list a
+Every vector keeps a list of its ``NEIGHBOURS`` nearest so far. Lists begin with what shares a small leaf of one
+random projection tree, or a small random group. They are refined by local joins: the vectors that list a
 vector, or are listed by it, meet and compare, since a neighbour's neighbour is likely a
-neighbour. Rounds go on until one connects nothing new.
+neighbour. Only vectors whose neighbours changed bring theirs together again, only pairs that are new to each other are
+compared, and a pair is passed on only if it is better than the worst of a list. Rounds go on until hardly any entry changes and no component grows.
 
 A vector whose whole list is above the threshold is saturated: it may have more
 links than its list holds. Its list then takes as many again from outside its component, where a
@@ -12,16 +12,15 @@ link would connect two components. All members of
 a component are compared with each other, in pairs of blocks, and counted exactly. So what
 the graph has to get right is which vectors are connected, and that is audited:
 for samples of vectors and of components, the links by brute force are held against the components,
-and vectors that miss one start further rounds, however many links others have, until the share
+and vectors that miss one start further rounds from other trees, however many links others have, until the share
 of vectors that miss none is reached.
 
-Equal vectors are one node. Leaves and lists of any size are split into bounded chunks, and the
-chunks of a leaf meet in pairs, except for vectors that are known to be connected.
+Equal vectors are one node. Leaves and lists of any size are split into bounded chunks. After an audit that fails, the
+chunks of an overfull leaf meet in pairs, except for vectors that are known to be connected.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,10 +33,13 @@ from eventmart.llm.common import small, staged
 from eventmart.llm.components import components
 
 THRESHOLD = 0.95
-NEIGHBOURS = 8
+NEIGHBOURS = 20
+#: Vectors of a leaf or random group that lists start with.
+START = 32
+#: Trees after an audit that failed.
 TREES = 5
-#: Probability that no leaf holds both of a pair whose cosine is the threshold.
-MISS = 0.001
+#: Share of the lists' entries that may still change when the rounds end.
+SETTLED = 0.002
 #: Vectors that meet in one task, at most about twice as many.
 LEAF = 160
 BLOCK = 256
@@ -99,49 +101,60 @@ def _forest(near: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _met(k: int, threshold: float) -> Callable:
-    """Within a group: the k nearest of each vector, k of other components if all those are links, and links that span those above the threshold."""
+    """Within a group: what belongs in the lists of its members, and links that span those joining components.
+
+    An entry is among the k nearest of the group and better than the list's worst (``floor``). A saturated vector gets
+    the k nearest of other components instead. Members that aren't ``fresh`` have met before, if the group is ``whole``.
+    """
 
     def work(group: pa.Table, units: np.ndarray) -> pa.RecordBatch:
         nodes, cos = group["node"].to_numpy(), units @ units.T
+        home, floor, known = group["component"].to_numpy(), group["floor"].to_numpy(), ~group["fresh"].to_numpy()
         np.fill_diagonal(cos, -2)
+        if group["whole"][0].as_py():
+            cos[np.ix_(known, known)] = -2
         n = min(k, len(nodes) - 1)
+        apart = np.where(home[:, None] == home[None, :], -2, cos)
+        links = list(_forest(apart >= threshold))
         best = np.argpartition(-cos, n - 1, axis=1)[:, :n]
-        links = list(_forest(cos >= threshold))
-        home = group["component"].to_numpy()
-        full = np.flatnonzero((np.take_along_axis(cos, best, axis=1) >= threshold).all(axis=1))
-        apart = np.where(home[full, None] == home[None, :], -2, cos[full])
-        more = np.argpartition(-apart, n - 1, axis=1)[:, :n]
-        out, at = np.nonzero(np.take_along_axis(apart, more, axis=1) > -2)
-        a = np.concatenate([np.repeat(np.arange(len(nodes)), n), full[out], [i for i, _ in links], [j for _, j in links]]).astype(int)
-        b = np.concatenate([best.reshape(-1), more[out, at], [j for _, j in links], [i for i, _ in links]]).astype(int)
+        near = np.take_along_axis(cos, best, axis=1)
+        saturated = floor >= threshold
+        full = np.flatnonzero(saturated | ((near >= threshold).all(axis=1) & (n == k)))
+        at, rank = np.nonzero((near > np.maximum(floor, -1.5)[:, None]) & ~saturated[:, None])
+        more = np.argpartition(-apart[full], n - 1, axis=1)[:, :n]
+        out, nth = np.nonzero(np.take_along_axis(apart[full], more, axis=1) > -1.5)
+        a = np.concatenate([at, full[out], [i for i, _ in links], [j for _, j in links]]).astype(int)
+        b = np.concatenate([best[at, rank], more[out, nth], [j for _, j in links], [i for i, _ in links]]).astype(int)
         return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b]), pa.array(cos[a, b])], ["node", "other", "cos"])
 
     return work
 
 
-PAIRS = "node long, other long, cos double"
+def _joining(threshold: float) -> Callable:
+    """Within a group: links that span those between components, and nothing else."""
 
+    def work(group: pa.Table, units: np.ndarray) -> pa.RecordBatch:
+        nodes, home, cos = group["node"].to_numpy(), group["component"].to_numpy(), units @ units.T
+        links = np.array(list(_forest((cos >= threshold) & (home[:, None] != home[None, :]))), int).reshape(-1, 2)
+        a, b = np.concatenate([links, links[:, ::-1]]).T
+        return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b]), pa.array(cos[a, b])], ["node", "other", "cos"])
 
-def _chunked(rows: DataFrame, key: list[str], salt: int) -> DataFrame:
-    """Groups of more than LEAF rows in random chunks of about that size."""
-    sizes = rows.groupBy("dims", *key).agg(F.ceil(F.count("*") / LEAF).alias("chunks")).filter("chunks > 1")
-    rows = rows.join(small(staged(sizes, "chunks")), ["dims", *key], "left")
-    return rows.withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("node", F.lit(salt), *key), F.col("chunks")), F.lit(0)).cast("long")).drop("chunks")
+    return work
 
 
-def _bits(n: int) -> int:
-    return max(1, int(np.ceil(np.log2(max(2, n / LEAF)))))
+PAIRS = "node long, other long, cos double"
 
 
-def trees_for(n: int, threshold: float) -> int:
-    """Trees of ``n`` vectors; a random plane parts a pair with the probability of its angle."""
-    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** _bits(n)
-    return TREES if together >= 1 - MISS else max(TREES, math.ceil(math.log(MISS) / math.log1p(-max(together, 1e-9))))
+def _chunked(rows: DataFrame, key: list[str], salt: int, size: int) -> DataFrame:
+    """Groups of more than ``size`` rows in random chunks of about that size; the others are ``whole``."""
+    sizes = rows.groupBy("dims", *key).agg(F.ceil(F.count("*") / size).alias("chunks")).filter("chunks > 1")
+    rows = rows.join(small(staged(sizes, "chunks")), ["dims", *key], "left").withColumn("whole", F.col("chunks").isNull())
+    return rows.withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("node", F.lit(salt), *key), F.col("chunks")), F.lit(0)).cast("long")).drop("chunks")
 
 
-def leaves(nodes: DataFrame, n: int, seed: int, trees: int = TREES) -> DataFrame:
-    """``nodes`` (node, dims, vec, component) once per tree, with the leaf: the signs of random projections."""
-    bits = _bits(n)
+def leaves(nodes: DataFrame, n: int, seed: int, trees: int, size: int) -> DataFrame:
+    """``nodes`` (node, dims, vec, component, floor) once per tree, with the leaf of about ``size``: the signs of random projections."""
+    bits = max(1, int(np.ceil(np.log2(max(2, n / size)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +169,14 @@ def leaves(nodes: DataFrame, n: int, seed: int, trees: int = TREES) -> DataFrame
                     yield from out.to_batches()
 
     kind = dict(nodes.dtypes)["vec"]
-    return nodes.select("node", "dims", "vec", "component").mapInArrow(run, f"node long, dims long, vec {kind}, component long, tree long, leaf long")
+    return nodes.select("node", "dims", "vec", "component", "floor").mapInArrow(run, f"node long, dims long, vec {kind}, component long, floor double, tree long, leaf long")
+
+
+def started(nodes: DataFrame, n: int, seed: int, trees: int) -> DataFrame:
+    """Groups that lists start from: the leaves of ``trees`` trees, and random groups, all of them new to each other."""
+    chance = nodes.select("node", "dims", "vec", "component", "floor", F.lit(-1).cast("long").alias("tree"), F.lit(0).cast("long").alias("leaf"))
+    rows = leaves(nodes, n, seed, trees, START).unionByName(chance)
+    return _chunked(rows.withColumn("fresh", F.lit(True)), ["tree", "leaf"], seed, START)
 
 
 def crossed(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -184,25 +204,34 @@ def crossed(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(small(staged(ends, "ends")), [*key, "big", "home", "part"]).select("node", "dims", "vec", "component", "pair")
 
 
-def nearest(pairs: DataFrame, k: int, found: DataFrame, threshold: float) -> DataFrame:
-    """The k best others of each node, and the k best of other components than its own if the node is saturated."""
-    rows = pairs.groupBy("node", "other").agg(F.max("cos").alias("cos"))
+def nearest(pairs: DataFrame, k: int, found: DataFrame, threshold: float, lists: DataFrame | None = None) -> DataFrame:
+    """The k best others of each node, and the k best of other components than its own if the node is saturated.
+
+    They are taken from ``lists`` so far and ``pairs``. What is new is ``fresh``, unless it only repeats that a saturated node is in its
+    component. ``floor`` is the cosine of the last of k.
+    """
+    rows = pairs.select("node", "other", "cos", F.lit(True).alias("new"))
+    if lists is not None:
+        rows = rows.unionByName(lists.select("node", "other", "cos", F.lit(False).alias("new")))
+    rows = rows.groupBy("node", "other").agg(F.max("cos").alias("cos"), F.min("new").alias("new"))
     known = small(found)
     rows = rows.join(known.select("node", F.col("component").alias("_a")), "node", "left").join(known.select(F.col("node").alias("other"), F.col("component").alias("_b")), "other", "left")
-    rows = rows.select("node", "other", "cos", F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)).alias("same"))
+    rows = rows.select("node", "other", "cos", "new", F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)).alias("same"))
     best = Window.orderBy(F.desc("cos"), "other")
     rows = rows.withColumn("rank", F.row_number().over(best.partitionBy("node"))).withColumn("outer", F.row_number().over(best.partitionBy("node", "same")))
-    links = F.sum((F.col("cos") >= threshold).cast("int")).over(Window.partitionBy("node"))
-    rows = rows.withColumn("full", links >= k)
-    return rows.filter((F.col("rank") <= k) | (F.col("full") & ~F.col("same") & (F.col("outer") <= k))).select("node", "other", "cos")
+    last = F.max(F.when(F.col("rank") == k, F.col("cos"))).over(Window.partitionBy("node"))
+    rows = rows.withColumn("floor", F.coalesce(last, F.lit(-2.0))).withColumn("full", F.col("floor") >= threshold)
+    rows = rows.filter((F.col("rank") <= k) | (F.col("full") & ~F.col("same") & (F.col("outer") <= k)))
+    return rows.select("node", "other", "cos", (F.col("new") & ~(F.col("full") & F.col("same"))).alias("fresh"), "floor")
 
 
 def local_join(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: int) -> DataFrame:
-    """Pairs found where the neighbours of a vector, on either side, meet each other."""
-    both = lists.select(F.col("node").alias("at"), F.col("other").alias("node")).unionByName(lists.select(F.col("other").alias("at"), "node"))
-    both = both.unionByName(lists.select(F.col("node").alias("at"), "node")).distinct()
-    rows = _chunked(both.join(nodes, "node").select("node", "dims", "vec", "component", "at"), ["at"], salt)
-    return by_group(rows, _met(k, threshold), PAIRS, ["at", "chunk"])
+    """Pairs found where the neighbours of a vector, on either side, meet each other, if one of them is fresh."""
+    both = lists.select(F.col("node").alias("at"), F.col("other").alias("node"), "fresh").unionByName(lists.select(F.col("other").alias("at"), "node", "fresh"))
+    both = staged(both.groupBy("at", "node").agg(F.max("fresh").alias("fresh")), "both")
+    both = both.join(small(staged(both.filter("fresh").select("at").distinct(), "live")), "at", "left_semi")
+    rows = both.join(nodes, "node").select("node", "dims", "vec", "component", "floor", "fresh", "at")
+    return by_group(_chunked(rows, ["at"], salt, LEAF), _met(k, threshold), PAIRS, ["at", "chunk"])
 
 
 def _links(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -227,6 +256,15 @@ def _homed(nodes: DataFrame, found: DataFrame) -> DataFrame:
     return nodes.join(small(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _ready(nodes: DataFrame, found: DataFrame, lists: DataFrame | None) -> DataFrame:
+    """``nodes`` with their component and the ``floor`` of their list."""
+    nodes = _homed(nodes, found)
+    if lists is None:
+        return nodes.withColumn("floor", F.lit(-2.0))
+    floors = staged(lists.groupBy("node").agg(F.max("floor").alias("floor")), "floors")
+    return nodes.join(small(floors), "node", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
+
+
 def missed(nodes: DataFrame, found: DataFrame, threshold: float, salt: int = 0) -> tuple[float, DataFrame]:
     """Share of a sample's vectors with links that have all of them, and links missed. A link is had if both ends are in one component of ``found``.
 
@@ -301,27 +339,28 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     n = nodes.count()
     plain = nodes.select("node", "dims", "vec")
 
-    lists, audit, trees = None, 0, trees_for(n, threshold)
     found = rows.sparkSession.createDataFrame([], "node long, component long")
-    while True:
-        begin = _chunked(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"], audit)
+    lists, audit, recall = None, 0, 0.0
+    while recall < RECALL:
+        if audit:
+            wide = crossed(leaves(_ready(plain, found, lists), n, audit, TREES, LEAF), ["tree", "leaf"])
+            wide = staged(by_group(wide, _joining(threshold), PAIRS, ["pair"]), "wide")
+            found, _ = merged(found, _links(wide, threshold))
+        begin = started(_ready(plain, found, lists), n, audit, TREES if audit else 1)
         met = staged(by_group(begin, _met(NEIGHBOURS, threshold), PAIRS, ["tree", "leaf", "chunk"]), "met")
         found, _ = merged(found, _links(met, threshold))
-        wide = crossed(leaves(_homed(plain, found), n, audit, trees), ["tree", "leaf"])
-        wide = staged(by_group(wide, _met(NEIGHBOURS, threshold), PAIRS, ["pair"]), "wide")
-        found, _ = merged(found, _links(wide, threshold))
-        met, new, turn = met.unionByName(wide), 1, 0
-        while new:
-            lists = staged(nearest(met if lists is None else lists.unionByName(met), NEIGHBOURS, found, threshold), "lists")
-            met = staged(local_join(_homed(plain, found), lists, NEIGHBOURS, threshold, turn), "met")
+        new, turn = 0, 0
+        while True:
+            lists = staged(nearest(met, NEIGHBOURS, found, threshold, lists), "lists")
+            if turn and not new and lists.filter("fresh").count() <= SETTLED * NEIGHBOURS * n:
+                break
+            met = staged(local_join(_ready(plain, found, lists), lists, NEIGHBOURS, threshold, turn), "met")
             found, new = merged(found, _links(met, threshold))
             turn += 1
         recall, more = missed(plain, found, threshold, audit)
         # each audit that fails joins components, so that there is a last one
         found, _ = merged(found, more)
-        if recall >= RECALL:
-            break
-        trees, audit = TREES, audit + 1
+        audit += 1
 
     members = nodes.join(small(found), "node")
     counts = staged(link_counts(members, threshold), "counts")
