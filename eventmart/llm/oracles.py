@@ -35,6 +35,16 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN components ON node = vec_id LEFT JOIN counts ON x = vec_id"""
 
 
+def _noisy() -> str:
+    """The same over every vector and its noisy copies."""
+    shift = "CAST((vec_id * 7919 + copy * 104729 + copy * i * i * i * 31337 + vec_id * i * 613) % 201 - 100 AS DOUBLE)"
+    copies = f"""noisy AS MATERIALIZED (SELECT vec_id * {vectors.COPIES} + copy AS vec_id,
+ list_transform(embedding, lambda x, i: CASE WHEN copy = 0 THEN CAST(x AS DOUBLE) ELSE CAST(x AS DOUBLE) + {shift} * {vectors.NOISE!r}::DOUBLE END) AS embedding
+ FROM embeddings, range({vectors.COPIES}) AS c(copy)),
+"""
+    return EMBEDDINGS.replace("embeddings", "noisy").replace("WITH RECURSIVE ", "WITH RECURSIVE " + copies, 1)
+
+
 def _rules() -> str:
     cases = "".join(
         f" WHEN (host = '{h}' OR suffix(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'"
@@ -160,6 +170,7 @@ ORACLES = {
     "op6_jaccard_join": JACCARD,
     "op7_url_filter": _urls(),
     "op9_embeddings": EMBEDDINGS,
+    "embeddings_noisy_copies": _noisy(),
     "op11_lexical_search": LEXICAL,
     "op12_license_scan": _licenses(),
     "op13_centroids": _clusters(),

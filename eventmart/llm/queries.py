@@ -53,6 +53,11 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def embeddings_noisy_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over every vector of the table and three noisy copies of it, which have links."""
+    return vectors.near_duplicates(vectors.noisy_copies(table(spark, sf_dir, "embeddings")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": op7_url_filter,
     "op8_secrets": op8_secrets,
     "op9_embeddings": op9_embeddings,
+    "embeddings_noisy_copies": embeddings_noisy_copies,
     "op10_token_counts": op10_token_counts,
     "op11_lexical_search": op11_lexical_search,
     "op12_license_scan": op12_license_scan,
