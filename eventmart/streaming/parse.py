@@ -61,11 +61,14 @@ def stream_parse(decoded: DataFrame) -> DataFrame:
     anomaly = F.coalesce(t("total_value") < 0, F.lit(False))
     out = [anomaly if n == "is_anomaly" else t(n) for n in schemas.STREAM_COLUMNS]
     carried = [x for x in ["message", *schemas.ORDER_COLUMNS] if x in decoded.columns]
-    return decoded.select("*", *[v.alias(f"typed_{n}") for n, v in typed.items()]).select(
+    parsed = decoded.select("*", *[v.alias(f"typed_{n}") for n, v in typed.items()]).select(
         *[v.alias(n) for n, v in zip(schemas.STREAM_COLUMNS, out)],
         reason.alias("reject_reason"),
         *carried,
     )
+    # A filter on the reason stays above a generator. Pushed below the casts and the decoding, it would
+    # repeat all of them for every check that mentions them.
+    return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
