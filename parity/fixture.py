@@ -47,10 +47,17 @@ DIRTY = {
     "duration": ("k % 409 = 7", "'-5'"),
     "total_value": ("k % 421 = 7", "NULL"),
 }
+#: Rows of the compact table that one task turns into text; a file of it is a few splits at any size.
+ROWS_PER_TASK = 100_000
 # How often a row occurs.
 COPIES = "CASE WHEN k % 50 = 0 THEN 2 ELSE 1 END"
 
 
+def tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks over which the work on the table is spread, in proportion to its rows."""
+    return max(1, -(-spark.read.parquet(f"{sf_dir}/events.parquet").count() // ROWS_PER_TASK))  # footers only
+
+
 def raw_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Raw rows: the fourteen text columns, the source key ``k`` and the order columns."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -61,6 +68,9 @@ def raw_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
         F.expr("CAST(value AS DECIMAL(10,2))").alias("v"),
         F.expr(MAPPED_TYPE).alias("m"),
     )
+    n = tasks(spark, sf_dir)
+    if n > 1:  # dealt out while the rows are narrow
+        base = base.repartition(n)
     columns = []
     for name in schemas.RAW_COLUMNS:
         sql = SPARK_TIME if name == "event_timestamp" else SHARED[name]

@@ -24,3 +24,8 @@ def test_a_filter_on_the_reason_does_not_repeat_the_parse(spark, raw_rows):
     assert [r.event_id for r in good.collect()] == [uuid_of(1)]
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_raw_rows_are_spread_over_tasks(spark, small_tasks):
+    rows = queries.raw(spark, SF_DIR)
+    assert rows.select(F.spark_partition_id()).distinct().count() == fixture.tasks(spark, SF_DIR) > 5
