@@ -116,7 +116,9 @@ class Ingest:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Rows of one split are numbered here, before any shuffle, where the source did not.
         row = F.coalesce("source_row", F.monotonically_increasing_id())
-        batch = batch.withColumn("source_row", row).persist()
+        # The text of a message is kept for rejects only: it is larger than what was made of it.
+        text = F.when(F.col("reject_reason").isNotNull(), F.col("message"))
+        batch = batch.withColumns({"source_row": row, "message": text}).persist()
         try:
             self.write(batch, batch_id)
         finally:

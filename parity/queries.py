@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart import schemas
-from eventmart.operators import access, dedup, dims, lookup, transform
+from eventmart.operators import access, dedup, dims, lookup, storage, transform
 from eventmart.plans import analytics, quality, unify
 from eventmart.plans.mart import Mart
 from eventmart.session import configure, fresh_path
@@ -80,16 +80,17 @@ def loaded_mart(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Mart:
     return mart
 
 
-def published(spark: SparkSession, sf_dir: str) -> str:
-    """The dirty fixture as message files, several of them."""
+def published(spark: SparkSession, sf_dir: str, parts: int = 4) -> str:
+    """The dirty fixture as message files: ``parts`` of them, or as many times that as keep files small."""
     path = fresh_path(spark, "messages")
-    messages.publish_files(raw(spark, sf_dir, dirty=True).repartition(4, "event_id"), path)
+    files = parts * -(-fixture.tasks(spark, sf_dir) // parts)
+    messages.publish_files(raw(spark, sf_dir, dirty=True).repartition(files, "event_id"), path)
     return path
 
 
-def run_ingest(spark: SparkSession, source: str, target: str, mode: str = "table", sink=ingest.Ingest) -> None:
-    """Drain ``source`` into ``target`` under a new checkpoint, two files per batch."""
-    stream = messages.file_stream(spark, source, max_files=2)
+def run_ingest(spark: SparkSession, source: str, target: str, mode: str = "table", sink=ingest.Ingest, batches: int = 2) -> None:
+    """Drain ``source`` into ``target`` under a new checkpoint, in so many batches of as many files."""
+    stream = messages.file_stream(spark, source, max_files=-(-len(storage.files(spark, source)) // batches))
     ingest.drain(ingest.start_ingest(stream, target, fresh_path(spark, "checkpoint"), mode, sink=sink))
 
 
@@ -545,12 +546,10 @@ class OftenMerged(ingest.Ingest):
 
 
 def merged_stream(spark: SparkSession, sf_dir: str) -> str:
-    """The dirty fixture in eight message files, one per batch, then all of it again under another checkpoint; key sets and row sets are merged."""
-    source, target = fresh_path(spark, "messages"), fresh_path(spark, "stream")
-    messages.publish_files(raw(spark, sf_dir, dirty=True).repartition(8, "event_id"), source)
-    for files_per_batch in (2, 4):
-        stream = messages.file_stream(spark, source, max_files=files_per_batch)
-        ingest.drain(ingest.start_ingest(stream, target, fresh_path(spark, "checkpoint"), sink=OftenMerged))
+    """The dirty fixture in four batches, then all of it again in two under another checkpoint; key sets and row sets are merged."""
+    source, target = published(spark, sf_dir, parts=8), fresh_path(spark, "stream")
+    for batches in (4, 2):
+        run_ingest(spark, source, target, sink=OftenMerged, batches=batches)
     table = compaction.Compaction(spark, target)
     table.compact()
     table.sweep()
@@ -590,14 +589,14 @@ def stream_counters(spark, sf_dir):
 
 
 def copies_in_files(spark: SparkSession, sf_dir: str) -> str:
-    """Every event in three of four files of one folder, each time with another value; the files' names give the order."""
+    """Every event in three of four places of one folder, each time with another value; the files' names give the order."""
     rows, path = raw(spark, sf_dir), fresh_path(spark, "messages")
     rows = rows.where("copy = 1").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(2))))
     changed = (F.col("value").cast("decimal(10,2)") + F.col("n")).cast("decimal(10,2)").cast("string")
-    # a range partition for each file: the part files are named in the order of the ranges
+    # a folder for each: its part files are named in the order of its rows, and no event is in a folder twice
     rows = rows.withColumns({"value": changed, "file": (F.col("k") + F.col("n")) % 4})
     for n in range(4):
-        messages.publish_files(rows.where(F.col("file") == n).coalesce(1), f"{path}/file={n}")
+        messages.publish_files(rows.where(F.col("file") == n), f"{path}/file={n}")
     return path
 
 

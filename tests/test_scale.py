@@ -29,3 +29,32 @@ def test_a_filter_on_the_reason_does_not_repeat_the_parse(spark, raw_rows):
 def test_raw_rows_are_spread_over_tasks(spark, small_tasks):
     rows = queries.raw(spark, SF_DIR)
     assert rows.select(F.spark_partition_id()).distinct().count() == fixture.tasks(spark, SF_DIR) > 5
+
+
+def test_message_files_follow_the_rows(spark, small_tasks):
+    found = storage.files(spark, queries.published(spark, SF_DIR))
+    assert len(found) >= fixture.tasks(spark, SF_DIR)
+    places = storage.files(spark, queries.copies_in_files(spark, SF_DIR))
+    assert len([f for f in places if "/file=0/" in f]) > 1
+
+
+def test_batches_of_a_run_do_not_follow_the_files(spark, small_tasks):
+    target = queries.ingested(spark, SF_DIR)
+    assert ingest.stream_metrics(spark, target).count() == 2
+
+
+def test_the_text_of_a_message_is_kept_for_rejects_only(spark, raw_rows):
+    held = []
+
+    class Sink(ingest.Ingest):
+        def write(self, batch, batch_id):
+            held.extend((r.reject_reason, r.message is None) for r in batch.collect())
+            return super().write(batch, batch_id)
+
+    target = fresh_path(spark, "stream")
+    rows = messages.rows_to_json(raw_rows([row(1), row(2, entity_id="None")])).withColumns(
+        {"source_file": F.lit("f"), "source_block": F.lit(0), "source_row": F.monotonically_increasing_id()}
+    )
+    Sink(spark, target, "a")(parse.parse_messages(rows), 0)
+    assert sorted(held, key=str) == [("bad_entity_id", False), (None, True)]
+    assert '"entity_id":"None"' in ingest.stream_rejects(spark, target).first().message
