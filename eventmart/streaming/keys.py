@@ -34,7 +34,7 @@ BITS_PER_KEY, PROBES = 24, 3
 KEY_SCHEMA = T.StructType([T.StructField("event_id", T.StringType())])
 BUCKETED = T.StructType([*KEY_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
 FILTER_SCHEMA = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("bitmap", T.BinaryType())])
-#: A batch file of ids holds up to so many.
+#: A file of ids holds up to so many, about.
 ROWS_PER_FILE = 1_000_000
 
 
@@ -156,8 +156,10 @@ class KeyTable:
     def _write(self, rows: DataFrame, level: int) -> dict:
         name = uuid.uuid4().hex[:12]
         path = f"{self.sets}/{name}"
-        by_bucket = rows.repartition("bucket").sortWithinPartitions("bucket", "event_id")
-        by_bucket.write.partitionBy("bucket").parquet(f"{path}/keys")
+        # stretches of buckets and ids: a large bucket is several files, so no task has more than a file to sort
+        files = rows.count() // ROWS_PER_FILE + 1  # footers only
+        laid = rows.repartition(1) if files == 1 else rows.repartitionByRange(files, "bucket", "event_id")
+        laid.sortWithinPartitions("bucket", "event_id").write.partitionBy("bucket").parquet(f"{path}/keys")
         made = {"name": name, "level": level, "segments": 1}
         kept = self.bucketed([made])
         n = kept.count()  # footers only

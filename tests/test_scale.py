@@ -43,6 +43,23 @@ def test_batches_of_a_run_do_not_follow_the_files(spark, small_tasks):
     assert ingest.stream_metrics(spark, target).count() == 2
 
 
+def test_a_large_bucket_of_ids_is_several_files(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_FILE", 50)
+    table = keys.KeyTable(spark, fresh_path(spark, "stream"), buckets=2, fan=2)
+    numbers = range(600)
+    for b in range(3):
+        part = [(uuid_of(n),) for n in numbers if n % 3 == b]
+        table.add(spark.createDataFrame(part, "event_id string"), len(part), "run", b)
+    assert table.roll_up()
+    made = table.versions.current().sets[0]
+    sizes = table.bucketed([made]).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) <= 100
+    assert sorted(r.event_id for r in table.all().collect()) == sorted(uuid_of(n) for n in numbers)
+    asked = spark.createDataFrame([(uuid_of(n),) for n in range(590, 610)], "event_id string")
+    found = {r.event_id for r in table.candidates(asked, 20, "run", 3).collect()}
+    assert {uuid_of(n) for n in range(590, 600)} <= found
+
+
 def test_the_text_of_a_message_is_kept_for_rejects_only(spark, raw_rows):
     held = []
 
