@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from eventmart import schemas
 from eventmart.operators import access, storage, versions
 
-ROWS_PER_FILE = 5_000_000
+#: A task sorts the rows of a file, so this bounds its memory.
+ROWS_PER_FILE = 1_000_000
 STORED = schemas.nullable(schemas.STORED_STREAM_SCHEMA)
 RANGE_SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("first", T.TimestampType()), T.StructField("last", T.TimestampType())])
 

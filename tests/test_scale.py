@@ -60,6 +60,10 @@ def test_a_large_bucket_of_ids_is_several_files(spark, monkeypatch):
     assert {uuid_of(n) for n in range(590, 600)} <= found
 
 
+def test_a_task_of_compaction_sorts_a_bounded_stretch():
+    assert compaction.ROWS_PER_FILE <= 1_000_000
+
+
 def test_the_text_of_a_message_is_kept_for_rejects_only(spark, raw_rows):
     held = []
 
