@@ -167,7 +167,7 @@ def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, special_as_text:
                 yield part.column("doc_id").to_pylist(), own.encode(texts)
     finally:
         # the worker lives on and runs tasks of other stages
-        own.pieces.clear()
+        own.clear()
 
 
 def to_file(uri: str, write: Callable) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventmart.llm import separators, token_files
-from eventmart.llm.tokens import Encoder
+from eventmart.llm.tokens import KNOWN, WORD, Encoder
 from eventmart.session import fresh_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,26 @@ def test_pieces_give_the_ids_of_the_whole_text():
     assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_are_those_of_the_pre_tokenizer():
+    chars = [c for c in map(chr, range(0x20AD)) if KNOWN.fullmatch(c)]
+    around = [f"{a}{c}{b}" for c in chars if c != " " for a in ("a", "1", ".", "\n", "'") for b in ("", "a", "1", ".", "\n\n", "\t1")]
+    text = " ".join(["", *around, *(f"{a}'{b}" for a in ("", "x", ".", "1", "\n") for b in ("s", "st", "ll", "LL", "re.", "'ve", "d'm"))])
+    plain = Tokenizer.from_file(PATH)
+    assert WORD.findall(text) == [text[a:b] for _, (a, b) in plain.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_words_are_encoded_once_whatever_stands_around_them(monkeypatch):
+    """Only what begins a text, and pieces with white space inside, go through the whole tokenizer."""
+    own, plain, seen = Encoder(PATH), Tokenizer.from_file(PATH), []
+    through, of_words = Encoder._ids, Encoder._words
+    monkeypatch.setattr(Encoder, "_ids", lambda self, texts: seen.extend(texts) or through(self, texts))
+    monkeypatch.setattr(Encoder, "_words", lambda self, words: seen.extend(words) or of_words(self, words))
+    texts = ["a qwerzu qwerzu, b", "a qwerzu. (qwerzu) qwerzu\nqwerzu! b qwerzu,", "a qwerzu  qwerzu \nb qwerzu;"]
+    got = [np.frombuffer(own.encode([t])[0], "<u4").tolist() for t in texts]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(seen) == sorted([*"aaa", " qwerzu", ",", " b", ".", " (", "qwerzu", ")", "\n", "!", " qwerzu ", " qwerzu \nb", ";"])
+
+
 def expected(rows):
     plain, out, start = Tokenizer.from_file(PATH), [], 0
     for doc_id, text in sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0)):
