@@ -37,6 +37,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: Shuffle files go when the statement that made them ends. Else they lie on the executors' disks until the driver collects its garbage,
+#: which a long ingest may not see for many batches. It is for statements whose frames aren't run a second time.
+PROMPT_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Plan the enclosed actions with other session settings, then put the old ones back."""

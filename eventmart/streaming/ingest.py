@@ -33,7 +33,8 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmart import schemas
 from eventmart.operators import dedup, storage, versions
 from eventmart.operators.access import month_of
-from eventmart.session import configure, settings
+from eventmart.session import PROMPT_CLEANUP, configure, settings
+from eventmart.sources.messages import EXPANSION
 from eventmart.streaming import compaction
 from eventmart.streaming.keys import KeyTable
 from eventmart.streaming.parse import parse_messages
@@ -120,7 +121,8 @@ class Ingest:
         text = F.when(F.col("reject_reason").isNotNull(), F.col("message"))
         batch = batch.withColumns({"source_row": row, "message": text}).persist()
         try:
-            self.write(batch, batch_id)
+            with settings(self.spark, PROMPT_CLEANUP):  # the batch has a session of its own
+                self.write(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -184,7 +186,9 @@ def start_ingest(
     writes = sink(spark, target, run_id_of(spark, checkpoint))
     writer = parsed.writeStream.foreachBatch(writes).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    with settings(spark, PARSE_SETTINGS):
+    # a task gets as many messages from compressed files as it would from plain ones
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() // EXPANSION
+    with settings(spark, PARSE_SETTINGS | PROMPT_CLEANUP | {"spark.sql.files.maxPartitionBytes": str(max(1, split))}):
         return writer.trigger(**trigger).start()
 
 

@@ -16,7 +16,7 @@ from eventmart import schemas
 from eventmart.operators import access, dedup, dims, lookup, storage, transform
 from eventmart.plans import analytics, quality, unify
 from eventmart.plans.mart import Mart
-from eventmart.session import configure, fresh_path
+from eventmart.session import PROMPT_CLEANUP, configure, fresh_path, settings
 from eventmart.sources import files, messages
 from eventmart.streaming import aggregates, compaction, ingest, parse
 from parity import fixture
@@ -595,8 +595,9 @@ def copies_in_files(spark: SparkSession, sf_dir: str) -> str:
     changed = (F.col("value").cast("decimal(10,2)") + F.col("n")).cast("decimal(10,2)").cast("string")
     # a folder for each: its part files are named in the order of its rows, and no event is in a folder twice
     rows = rows.withColumns({"value": changed, "file": (F.col("k") + F.col("n")) % 4})
-    for n in range(4):
-        messages.publish_files(rows.where(F.col("file") == n), f"{path}/file={n}")
+    with settings(spark, PROMPT_CLEANUP):  # each of them deals the table out again
+        for n in range(4):
+            messages.publish_files(rows.where(F.col("file") == n), f"{path}/file={n}")
     return path
 
 

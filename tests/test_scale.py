@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from conftest import SF_DIR, row, uuid_of
 from pyspark.sql import functions as F
 
 from eventmart.operators import storage
-from eventmart.session import fresh_path
+from eventmart.session import PROMPT_CLEANUP, fresh_path
 from eventmart.sources import messages
 from eventmart.streaming import compaction, ingest, keys, parse
 from parity import fixture, queries
@@ -38,6 +40,38 @@ def test_message_files_follow_the_rows(spark, small_tasks):
     assert len([f for f in places if "/file=0/" in f]) > 1
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_message_files_are_compressed(spark):
+    path = fresh_path(spark, "messages")
+    messages.publish_files(queries.raw(spark, SF_DIR), path)
+    text = spark.read.text(path)
+    assert text.count() == queries.raw(spark, SF_DIR).count()
+    chars = text.agg(F.sum(F.octet_length("value"))).first()[0]
+    assert sum(storage._fs(spark, f)[0].getFileStatus(storage._fs(spark, f)[1]).getLen() for f in storage.files(spark, path)) < chars / 4
+
+
+def test_shuffle_files_of_an_ingest_go_with_its_statements(spark):
+    """They would lie on the executors' disks until the driver collects its garbage."""
+    before, held = shuffle_files(spark), []
+
+    class Sink(ingest.Ingest):
+        def write(self, batch, batch_id):
+            held.extend(s.conf.get(name) for s in (batch.sparkSession, self.spark) for name in PROMPT_CLEANUP)
+            return super().write(batch, batch_id)
+
+    source, target = queries.copies_in_files(spark, SF_DIR), fresh_path(spark, "stream")
+    ingest.drain(ingest.start_ingest(messages.file_stream(spark, source), target, fresh_path(spark, "checkpoint"), sink=Sink))
+    assert held == ["true", "true"]
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not left
+
+
 def test_batches_of_a_run_do_not_follow_the_files(spark, small_tasks):
     target = queries.ingested(spark, SF_DIR)
     assert ingest.stream_metrics(spark, target).count() == 2
