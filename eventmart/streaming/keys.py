@@ -74,7 +74,7 @@ class KeyTable:
         there = [(r, b) for r, own in versions.batches(self.spark, self.events).items() for b in own]
         missing = [(r, b) for r, b in there if b not in known.get(r, ()) and not state.covers(r, b)]
         if missing:
-            read = self.spark.read.schema(KEY_SCHEMA.add("run_id", "string").add("batch_id", "long")).option("basePath", self.events)
+            read = self.spark.read.schema(T.StructType([*KEY_SCHEMA.fields]).add("run_id", "string").add("batch_id", "long")).option("basePath", self.events)
             rows = read.parquet(*[versions.folder(self.events, r, b) for r, b in missing])
             rows.repartition("run_id", "batch_id").write.mode("append").partitionBy("run_id", "batch_id").parquet(self.table)
 
